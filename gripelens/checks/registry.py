@@ -105,7 +105,8 @@ def correlation_coefs(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("platform")
         .agg(*[correlation(c).alias(f"num_scaler__{c}") for c in COEF_FEATURES])
     )
-    long = wide.unpivot(["platform"], [f"num_scaler__{c}" for c in COEF_FEATURES], "feature", "coef")
+    names = [f"num_scaler__{c}" for c in COEF_FEATURES]
+    long = cleaning.melt(wide, ["platform"], names, "feature", "coef")
     return long.where(F.col("coef").isNotNull()).withColumn("coef", F.round("coef", 6))
 
 
@@ -337,7 +338,7 @@ def lexical_markers(spark, sf):
 @query
 def lang_profiles(spark, sf):
     counts = language.gram_counts(v.review_texts(spark, sf, spread=True))
-    return rounded(language.smoothed_profiles(counts))
+    return rounded(language.smoothed_profiles(materialise(counts, "gram-counts")))
 
 
 @query

@@ -44,7 +44,7 @@ def sentence_name(feature: Column) -> Column:
     merged = F.regexp_replace(
         spaced, f"[eE]arly access review {EARLY_ACCESS_TITLE}", EARLY_ACCESS_SENTENCE
     )
-    return F.concat(F.upper(F.substring(merged, 1, 1)), F.substr(merged, F.lit(2)))
+    return F.overlay(merged, F.upper(F.left(merged, F.lit(1))), F.lit(1), F.lit(1))
 
 
 def display_name(key: Column) -> Column:

@@ -48,3 +48,10 @@ def union_missing(frames: Sequence[DataFrame]) -> DataFrame:
 
 def tag_and_stack(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     return union_missing([df.withColumn(tag, F.lit(key)) for key, df in frames.items()])
+
+
+def melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:
+    """One row per key and column. A generator over one array: the row is read once and, unlike
+    with an expand step, the generated code stays small for many columns."""
+    pairs = [F.struct(F.lit(c).alias(name), F.col(f"`{c}`").alias(value)) for c in columns]
+    return df.select(*keys, F.inline(F.array(*pairs)))

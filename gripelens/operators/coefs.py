@@ -57,17 +57,15 @@ def key_matrix(
         .orderBy(F.col("strength").desc(), "name")
         .limit(n)
     )
-    wide = (
+    cells = (
         named.join(F.broadcast(top.select("name")), "name", "left_semi")  # n rows
-        .groupBy("name")
-        .pivot("platform", list(platforms))
-        .agg(F.min_by("coef", "feature"))
+        .groupBy("name", "platform")
+        .agg(F.min_by("coef", "feature").alias("coef"))
     )
+    wide = cells.groupBy("name").pivot("platform", list(platforms)).agg(F.max("coef"))
     if fill is not None:
         wide = wide.fillna(fill, subset=list(platforms))
-    size = F.lit(0.0)
-    for p in platforms:
-        size = F.greatest(size, F.coalesce(F.abs(F.col(f"`{p}`")), F.lit(0.0)))
+    size = F.greatest(F.lit(0.0), *[F.abs(F.col(f"`{p}`")) for p in platforms])  # skips nulls
     rank = F.row_number().over(Window.orderBy("_size", F.col("name").desc()))  # n rows
     return (
         wide.withColumn("_size", size)

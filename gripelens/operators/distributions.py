@@ -24,13 +24,18 @@ _FINEST = 1e6
 def value_counts(
     df: DataFrame, groups: Sequence[str], value: str, digits: int | None = 6
 ) -> DataFrame:
-    """(groups..., x, n): distinct values of a group with their counts; nulls left out."""
+    """(groups..., x, n): distinct values of a group with their counts.
+
+    Rows without a value or without a group are left out. Saying so here also keeps the
+    optimiser from pushing different null filters into the branches that read the counts
+    below, which would make each of them recompute the counts instead of sharing one shuffle.
+    """
     x = F.col(value).cast("double")
     if digits is not None:
         x = F.round(x, digits)
     return (
         df.select(*groups, x.alias("x"))
-        .where(F.col("x").isNotNull())
+        .dropna(subset=[*groups, "x"])
         .groupBy(*groups, "x")
         .agg(F.count("*").alias("n"))
     )
@@ -38,7 +43,7 @@ def value_counts(
 
 def _bucket(x: Column) -> Column:
     size = F.floor(F.log1p(F.abs(x) * _FINEST) * _PER_E_FOLD)
-    return F.when(x < 0, -size).otherwise(size)
+    return F.coalesce(F.when(x < 0, -size).otherwise(size), F.lit(0))
 
 
 def group_quantiles(
@@ -81,17 +86,22 @@ def group_quantiles(
         .where((F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("here")))
         .select(*groups, "_bucket", "n_rows", "q", "side", "fraction", (F.col("rank") - F.col("_before")).alias("rank"))
     )
-    touched = wanted.select(*groups, "_bucket").distinct()
+    # At most two ranks per probability and bucket, so the list is short; it lets the counts
+    # be joined once, before their running sum.
+    per_bucket = wanted.groupBy(*groups, "_bucket").agg(
+        F.max("n_rows").alias("n_rows"),
+        F.collect_list(F.struct("q", "side", "fraction", "rank")).alias("_ranks"),
+    )
     within = (
         Window.partitionBy(*groups, "_bucket")
         .orderBy("x")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ordered = counts.join(touched, [*groups, "_bucket"], "left_semi").withColumn(
-        "_upto", F.sum("n").over(within)
-    )
-    found = ordered.join(wanted, [*groups, "_bucket"]).where(
-        (F.col("_upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("_upto"))
+    found = (
+        counts.join(per_bucket, [*groups, "_bucket"])
+        .withColumn("_upto", F.sum("n").over(within))
+        .select(*groups, "n_rows", "x", "n", "_upto", F.inline("_ranks"))
+        .where((F.col("_upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("_upto")))
     )
 
     def pick(i: int) -> Column:

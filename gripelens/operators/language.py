@@ -36,24 +36,31 @@ def explode_trigrams(df: DataFrame, letters_col: str, keep: list[str], end: bool
     later = [F.slice("_c", F.lit(k), F.size("_c")) for k in (2, 3)]
     zipped = F.arrays_zip("_c", later[0].alias("_d"), later[1].alias("_e"))
     exploded = df.select(*keep, points.alias("_c")).select(*keep, F.explode(zipped).alias("_g"))
-    gram = F.concat("_g._c", "_g._d", "_g._e")  # null for the two incomplete runs at the end
+    gram = F.concat("_g._c", "_g._d", "_g._e")
+    complete = F.col("_g._e").isNotNull()  # the last two runs of a text are incomplete
     if end:
-        gram = F.when(F.col("_g._d").isNull(), F.lit(_END)).otherwise(gram)
-    return exploded.select(*keep, gram.alias("gram")).where(F.col("gram").isNotNull())
+        last = F.col("_g._d").isNull()
+        return exploded.where(complete | last).select(
+            *keep, F.when(last, F.lit(_END)).otherwise(gram).alias("gram")
+        )
+    return exploded.where(complete).select(*keep, gram.alias("gram"))
 
 
 def gram_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, gram, n) over whole texts."""
     letters = df.select(lang_col, letters_only(F.col(text_col)).alias("_letters"))
     return (
-        explode_trigrams(letters, "_letters", [lang_col])
+        explode_trigrams(letters.dropna(subset=[lang_col]), "_letters", [lang_col])
         .groupBy(F.col(lang_col).alias("lang"), "gram")
         .agg(F.count("*").alias("n"))
     )
 
 
 def smoothed_profiles(counts: DataFrame) -> DataFrame:
-    """(lang, gram, n, logp) with add-one smoothing over the common vocabulary."""
+    """(lang, gram, n, logp) with add-one smoothing over the common vocabulary.
+
+    ``counts`` is read several times: pass a materialised table.
+    """
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     vocabulary = counts.agg(F.count_distinct("gram")).scalar()
     return (

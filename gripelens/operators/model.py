@@ -8,6 +8,7 @@ inputs are scaled beforehand, so Spark's own standardisation is off.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -23,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gripelens.operators.encode import Encoded, fit_one_hot, fit_scaler, weight_column
-from gripelens.operators.sampling import stratified_split
+from gripelens.operators.sampling import plan_split
 
 SEED = 33  # fixed values
 TEST_FRACTION = 0.2
 MAX_ITER = 2000
+PARTITION_BYTES = 32 * 1024 * 1024
 COEF_SCHEMA = "feature string, coef double"
 
 
@@ -100,12 +102,10 @@ def fit_classifier(
     the model uses are read.
     """
     used = [id_col, label_col, *numeric, *categorical.values()]
-    split = stratified_split(
-        features.select(*dict.fromkeys(used)), label_col, id_col, test_fraction, seed
-    )
-    train = split.where(~F.col("is_test")).drop("is_test")
-    test = split.where("is_test").drop("is_test").withColumn("label", F.col(label_col).cast("double"))
-    sizes = {r[label_col]: r["n"] for r in train.groupBy(label_col).agg(F.count("*").alias("n")).collect()}
+    table = features.select(*dict.fromkeys(used))
+    is_test, sizes = plan_split(table, label_col, id_col, test_fraction, seed)
+    train = table.where(~is_test)
+    test = table.where(is_test).withColumn("label", F.col(label_col).cast("double"))
     if len(sizes) < 2:
         raise ValueError("training needs both outcomes")
     encoded = fit_one_hot(train, categorical) + fit_scaler(train, numeric)
@@ -116,8 +116,12 @@ def fit_classifier(
     for stage in stages:
         matrix = stage.transform(matrix)
     matrix = matrix.select("label", "weight", "features")
+    # Every iteration is a pass over the cached matrix: few, well-filled partitions keep the
+    # scheduling share small. This only ever lowers the number of partitions.
+    rows = sum(sizes.values())
+    matrix = matrix.coalesce(max(1, math.ceil(rows * (len(encoded) + 2) * 8 / PARTITION_BYTES)))
     if kind == "logistic":
-        learner = logistic_regression(1.0 / sum(sizes.values()))
+        learner = logistic_regression(1.0 / rows)
     elif kind == "tree":
         learner = DecisionTreeClassifier(labelCol="label", weightCol="weight", seed=seed)
     elif kind == "forest":

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gripelens.operators.cleaning import melt
+
 
 def data_profile(df: DataFrame, label_col: str = "negative_experience") -> DataFrame:
     """One row: number of rows, of labelled rows and of negative rows."""
@@ -19,7 +21,7 @@ def missing_profile(df: DataFrame, top: int = 10) -> DataFrame:
     """Missing values per column, most first; one pass whatever the number of columns."""
     counts = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns])
     return (
-        counts.unpivot([], df.columns, "column_name", "missing")
+        melt(counts, [], df.columns, "column_name", "missing")
         .orderBy(F.col("missing").desc(), "column_name")
         .limit(top)
     )

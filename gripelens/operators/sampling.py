@@ -181,18 +181,12 @@ def train_quotas(sizes: Mapping[object, int], test_fraction: float) -> dict[obje
     return share
 
 
-def stratified_split(
-    df: DataFrame,
-    label_col: str,
-    id_col: str,
-    test_fraction: float = 0.2,
-    seed: int = 33,
-) -> DataFrame:
-    """Add boolean ``is_test``; class proportions match in both parts.
-
-    Test rows are the lowest hashes of their class.
-    """
-    sizes = {r[label_col]: r["n"] for r in df.groupBy(label_col).agg(F.count("*").alias("n")).collect()}
+def plan_split(
+    df: DataFrame, label_col: str, id_col: str, test_fraction: float = 0.2, seed: int = 33
+) -> tuple[Column, dict[object, int]]:
+    """The predicate that marks test rows, and the number of training rows per class."""
+    counts = df.groupBy(label_col).agg(F.count("*").alias("n")).collect()
+    sizes = {r[label_col]: r["n"] for r in counts}
     train = train_quotas(sizes, test_fraction)
     key = hash_key(F.col(id_col), seed)
     cuts = find_cuts(
@@ -202,4 +196,15 @@ def stratified_split(
     is_test = F.lit(False)
     for c, cut in cuts.items():
         is_test = F.when(F.col(label_col).eqNullSafe(F.lit(c)), _upto(key, cut)).otherwise(is_test)
+    return is_test, train
+
+
+def stratified_split(
+    df: DataFrame, label_col: str, id_col: str, test_fraction: float = 0.2, seed: int = 33
+) -> DataFrame:
+    """Add boolean ``is_test``; class proportions match in both parts.
+
+    Test rows are the lowest hashes of their class.
+    """
+    is_test, _ = plan_split(df, label_col, id_col, test_fraction, seed)
     return df.withColumn("is_test", is_test)

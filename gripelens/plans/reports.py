@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gripelens.functions.names import DISPLAY_NAMES
-from gripelens.operators.cleaning import has_columns, tag_and_stack
+from gripelens.operators.cleaning import has_columns, melt, tag_and_stack
 from gripelens.operators.distributions import trimmed_distribution, value_counts
 
 
@@ -57,11 +57,10 @@ def feature_distribution(
     features: DataFrame, measures: Sequence[str], platform_col: str = "platform"
 ) -> DataFrame:
     """Distribution summary of several features of negative reviews per platform."""
-    long = (
-        features.where(F.col("negative_experience") == 1)
-        .select(platform_col, *[F.col(m).cast("double").alias(m) for m in measures])
-        .unpivot([platform_col], list(measures), "feature", "value")
+    numbers = features.where(F.col("negative_experience") == 1).select(
+        platform_col, *[F.col(m).cast("double").alias(m) for m in measures]
     )
+    long = melt(numbers, [platform_col], measures, "feature", "value")
     return trimmed_distribution(long, [platform_col, "feature"], "value")
 
 
