@@ -431,8 +431,7 @@ def sentiment_by_outcome(spark, sf):
         "steam": steam_features(spark, sf),
         "yelp": yelp_features(spark, sf),
     }
-    parts = {k: reports.sentiment_by_outcome(df, k) for k, df in frames.items()}
-    return rounded(cleaning.tag_and_stack(parts, "dataset"))
+    return rounded(reports.sentiment_by_outcome(frames))
 
 
 @query

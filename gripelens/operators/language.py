@@ -17,7 +17,7 @@ from gripelens.runtime import fits_broadcast, lookup_join
 UNKNOWN = "unknown"
 MIN_LETTERS = 3
 _MICRO = 1_000_000
-_END = ""
+_END = 0  # code of the one extra row per text; no trigram has it
 
 
 def letters_only(text: Column) -> Column:
@@ -28,22 +28,30 @@ def letters_only(text: Column) -> Column:
     return F.concat(F.lit(" "), F.btrim(spaced), F.lit(" "))
 
 
-def explode_trigrams(df: DataFrame, letters_col: str, keep: list[str], end: bool = False) -> DataFrame:
-    """One row (keep..., gram) per run of three code points; with ``end`` also one row with
-    the empty gram per input row, so that no row is lost in a later join."""
+def _runs(df: DataFrame, letters_col: str, keep: list[str]) -> DataFrame:
+    """One row (keep..., _g) per code point, ``_g`` holding it and its two successors; the
+    successors are null on the last rows of a text."""
     # Splitting on nothing yields code points without a regular expression.
     points = F.split(F.col(letters_col), "", -1)
     later = [F.slice("_c", F.lit(k), F.size("_c")) for k in (2, 3)]
     zipped = F.arrays_zip("_c", later[0].alias("_d"), later[1].alias("_e"))
-    exploded = df.select(*keep, points.alias("_c")).select(*keep, F.explode(zipped).alias("_g"))
-    gram = F.concat("_g._c", "_g._d", "_g._e")
-    complete = F.col("_g._e").isNotNull()  # the last two runs of a text are incomplete
-    if end:
-        last = F.col("_g._d").isNull()
-        return exploded.where(complete | last).select(
-            *keep, F.when(last, F.lit(_END)).otherwise(gram).alias("gram")
-        )
-    return exploded.where(complete).select(*keep, gram.alias("gram"))
+    return df.select(*keep, points.alias("_c")).select(*keep, F.explode(zipped).alias("_g"))
+
+
+def explode_trigrams(df: DataFrame, letters_col: str, keep: list[str]) -> DataFrame:
+    """One row (keep..., gram) per run of three code points."""
+    gram = F.coalesce(F.concat("_g._c", "_g._d", "_g._e"), F.lit(""))
+    return (
+        _runs(df, letters_col, keep)
+        .where(F.col("_g._e").isNotNull())
+        .select(*keep, gram.alias("gram"))
+    )
+
+
+def _code(*points: Column) -> Column:
+    """Three code points as one number, 21 bits each: joins faster than text."""
+    a, b, c = (F.ascii(p).cast("bigint") for p in points)
+    return F.shiftleft(a, 42) + F.shiftleft(b, 21) + c
 
 
 def gram_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -72,7 +80,7 @@ def smoothed_profiles(counts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """One row per trigram, one whole-millionth score column per language."""
+    """One row per trigram code, one whole-millionth score column per language."""
 
     languages: tuple[str, ...]
     scores: DataFrame
@@ -85,8 +93,9 @@ class LanguageModel:
         vocabulary = counts.agg(F.count_distinct("gram").alias("v")).first()["v"]
         languages = tuple(sorted(totals))
         wide = counts.groupBy("gram").pivot("lang", list(languages)).agg(F.sum("n"))
+        letters = [F.substring("gram", i, 1) for i in (1, 2, 3)]
         scores = wide.select(
-            "gram",
+            _code(*letters).alias("code"),
             *[
                 F.round(
                     F.ln((F.coalesce(F.col(f"`{lang}`"), F.lit(0)) + 1) / F.lit(totals[lang] + vocabulary))
@@ -109,19 +118,26 @@ def detect_language(
     """
     sums = [f"score_{i}" for i in range(len(model.languages))]
     end = model.scores.sparkSession.range(1).select(
-        F.lit(_END).alias("gram"), *[F.lit(None).cast("bigint").alias(c) for c in sums]
+        F.lit(_END).cast("bigint").alias("code"), *[F.lit(None).cast("bigint").alias(c) for c in sums]
     )
     letters = F.col("_letters")
     enough = F.char_length(F.replace(letters, F.lit(" "), F.lit(""))) >= MIN_LETTERS
     narrow = df.select(id_col, letters_only(F.col(text_col)).alias("_letters")).withColumn(
         "_enough", enough
     )
-    spread = explode_trigrams(narrow, "_letters", [id_col, "_enough"], end=True)
+    # The last row of a text has no successors and serves as its end entry.
+    complete = F.col("_g._e").isNotNull()
+    code = F.when(complete, _code(F.col("_g._c"), F.col("_g._d"), F.col("_g._e"))).otherwise(F.lit(_END))
+    spread = (
+        _runs(narrow, "_letters", [id_col, "_enough"])
+        .where(complete | F.col("_g._d").isNull())
+        .select(id_col, "_enough", F.coalesce(code, F.lit(_END)).alias("code"))
+    )
     scored = (
-        lookup_join(spread, model.scores.unionByName(end), "gram", "inner", model.small, id_col)
+        lookup_join(spread, model.scores.unionByName(end), "code", "inner", model.small, id_col)
         .groupBy(id_col)
         .agg(
-            F.first("_enough").alias("_enough"),
+            F.max("_enough").alias("_enough"),
             F.count("score_0").alias("grams"),
             *[F.sum(c).alias(c) for c in sums],
         )

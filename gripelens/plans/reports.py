@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gripelens.functions.names import DISPLAY_NAMES
 from gripelens.operators.cleaning import has_columns, melt, tag_and_stack
-from gripelens.operators.distributions import trimmed_distribution, value_counts
+from gripelens.operators.distributions import trimmed_distribution
 
 
 def negative_polarity(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -42,15 +42,19 @@ def outcome_group(key: str) -> Column | None:
     return None
 
 
-def sentiment_by_outcome(features: DataFrame, key: str) -> DataFrame | None:
-    """Distribution summary of polarity per outcome group of one platform."""
-    group = outcome_group(key)
-    if group is None:
-        return None
-    grouped = features.select(group.alias("outcome"), "sentiment_polarity")
-    return trimmed_distribution(
-        grouped.where(F.col("outcome").isNotNull()), ["outcome"], "sentiment_polarity"
-    )
+def sentiment_by_outcome(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Distribution summary of polarity per dataset and outcome group.
+
+    All datasets are stacked first and summarised in one job. A dataset of unknown kind has
+    no outcome group and is left out.
+    """
+    grouped = {
+        key: df.select(outcome_group(key).alias("outcome"), "sentiment_polarity")
+        for key, df in frames.items()
+        if outcome_group(key) is not None
+    }
+    stacked = tag_and_stack(grouped, "dataset")
+    return trimmed_distribution(stacked, ["dataset", "outcome"], "sentiment_polarity")
 
 
 def feature_distribution(
@@ -63,12 +67,3 @@ def feature_distribution(
     long = melt(numbers, [platform_col], measures, "feature", "value")
     return trimmed_distribution(long, [platform_col, "feature"], "value")
 
-
-__all__ = [
-    "feature_distribution",
-    "negative_polarity",
-    "outcome_group",
-    "sentiment_by_outcome",
-    "sentiment_by_platform",
-    "value_counts",
-]
