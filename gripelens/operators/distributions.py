@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gripelens.runtime import materialise
+
 LOW, HIGH = 0.01, 0.99  # fixed values: winsorising quantiles
 MEDIAN = 0.5
 _PER_E_FOLD = 256  # buckets per factor e: neighbouring bounds differ by 0.4 percent
@@ -26,9 +28,7 @@ def value_counts(
 ) -> DataFrame:
     """(groups..., x, n): distinct values of a group with their counts.
 
-    Rows without a value or without a group are left out. Saying so here also keeps the
-    optimiser from pushing different null filters into the branches that read the counts
-    below, which would make each of them recompute the counts instead of sharing one shuffle.
+    Rows without a value or without a group are left out.
     """
     x = F.col(value).cast("double")
     if digits is not None:
@@ -119,9 +119,13 @@ def group_quantiles(
 def winsorised_counts(
     df: DataFrame, groups: Sequence[str], value: str, low: float = LOW, high: float = HIGH
 ) -> DataFrame:
-    """Value counts with each value clipped to its group's quantiles, plus the bounds."""
+    """Value counts with each value clipped to its group's quantiles, plus the bounds.
+
+    The counts are read by several branches, so they are written once: what lies before them
+    (text work, usually) runs once whatever the optimiser decides to share.
+    """
     groups = list(groups)
-    counts = value_counts(df, groups, value)
+    counts = materialise(value_counts(df, groups, value), "value-counts")
     bounds = group_quantiles(counts, groups, (low, MEDIAN, high)).select(
         *groups, "n_rows", F.col("q0").alias("lower"), F.col("q1").alias("median"), F.col("q2").alias("upper")
     )
