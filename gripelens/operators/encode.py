@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A one-hot column per category must stay a sensible matrix width.
@@ -95,15 +95,11 @@ def apply_encoding(df: DataFrame, encoded: Sequence[Encoded], keep: Sequence[str
     return df.select(*keep, *[F.expr(e.sql).alias(e.name) for e in encoded])
 
 
-def class_sizes(df: DataFrame, label_col: str = "negative_experience") -> DataFrame:
-    return df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count("*").alias("n"))
-
-
 def class_weights(df: DataFrame, label_col: str = "negative_experience") -> DataFrame:
     """(label, n, weight) with weight = rows / (classes * rows of the class)."""
-    sizes = class_sizes(df, label_col)
-    totals = sizes.agg(F.sum("n").alias("rows"), F.count("*").alias("classes"))
-    weight = totals.select((F.col("rows") / F.col("classes"))).scalar() / F.col("n")
+    sizes = df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count("*").alias("n"))
+    every = Window.partitionBy(F.lit(1))  # over one row per class
+    weight = F.sum("n").over(every) / (F.count("*").over(every) * F.col("n"))
     return sizes.select(label_col, "n", weight.alias("weight"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gripelens.operators.cleaning import melt
@@ -30,5 +30,5 @@ def missing_profile(df: DataFrame, top: int = 10) -> DataFrame:
 def target_balance(df: DataFrame, label_col: str = "negative_experience") -> DataFrame:
     """Share of each outcome among labelled rows."""
     counts = df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # over one row per outcome
     return counts.select(label_col, "n", (F.col("n") / total).alias("share"))

@@ -53,8 +53,8 @@ def _csv_reader(spark: SparkSession):
     )
 
 
-def csv_layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Header line -> files that start with it. Only file names and headers reach the driver."""
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every CSV file, read from first blocks only."""
     lines = (
         spark.read.option("pathGlobFilter", "*.csv")
         .text(path)
@@ -62,15 +62,11 @@ def csv_layouts(spark: SparkSession, path: str) -> dict[str, list[str]]:
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("position"),
-            "value",
+            F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"),
         )
         .where(F.col("block") == 0)
     )
-    first = lines.groupBy("file").agg(F.min_by("value", "position").alias("header"))
-    layouts: dict[str, list[str]] = {}
-    for row in first.collect():
-        layouts.setdefault(row["header"].lstrip("\ufeff"), []).append(row["file"])
-    return layouts
+    return lines.groupBy("file").agg(F.min_by("value", "position").alias("header"))
 
 
 def read_csv_folder(
@@ -92,20 +88,29 @@ def read_csv_folder(
     extra = [F.col("_metadata.file_path").alias(file_col)] if file_col else []
     if same_layout:
         return _csv_reader(spark).schema(wanted).csv(path).select(*wanted.names, *extra)
-    layouts = csv_layouts(spark, path)
-    stacked = None
-    for header, files in sorted(layouts.items()):
+    first = _headers(spark, path).persist()  # one short row per file
+    try:
+        layouts = sorted(r["header"] for r in first.select("header").distinct().collect())
+        if not layouts:
+            raise FileNotFoundError(f"no CSV files in {path}")
+        if len(layouts) == 1:
+            files = {layouts[0]: path}
+        else:
+            files = {h: [r["file"] for r in first.where(F.col("header") == h).collect()] for h in layouts}
+    finally:
+        first.unpersist()
+    parts = []
+    for header in layouts:
         names = next(csv.reader([header]))
-        positional = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        part = _csv_reader(spark).schema(positional).csv(path if len(layouts) == 1 else files)
+        as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         columns = [
             (F.col(f"`{f.name}`") if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in wanted.fields
         ]
-        part = part.select(*columns, *extra)
-        stacked = part if stacked is None else stacked.unionByName(part)
-    if stacked is None:
-        raise FileNotFoundError(f"no CSV files in {path}")
+        parts.append(_csv_reader(spark).schema(as_text).csv(files[header]).select(*columns, *extra))
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part)
     return stacked
 
 

@@ -67,23 +67,39 @@ def alerts(shares: DataFrame, threshold: float, min_reviews: int = 1) -> DataFra
     return shares.where((F.col("share") > threshold) & (F.col("n") >= min_reviews))
 
 
-def drain_to_table(stream: DataFrame, out_path: str, checkpoint: str, timeout_s: int = 3600) -> DataFrame:
+def drain_to_table(
+    stream: DataFrame,
+    out_path: str,
+    checkpoint: str,
+    timeout_s: int = 3600,
+    state_partitions: int | None = None,
+) -> DataFrame:
     """Process what is there now and return the result table.
 
     Complete mode: each batch replaces the table, so windows that the watermark has not
-    closed yet are included. The sink writes from the executors.
+    closed yet are included. The sink writes from the executors. ``state_partitions`` is
+    fixed by the first run of a checkpoint; it defaults to one per core.
     """
+    conf = stream.sparkSession.conf
+    batch_partitions = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions is None:
+        state_partitions = stream.sparkSession.sparkContext.defaultParallelism
 
     def replace(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out_path)
 
-    query = (
+    writer = (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(replace)
-        .start()
     )
+    try:
+        # A query copies the settings when it starts; batch jobs keep their own number.
+        conf.set("spark.sql.shuffle.partitions", state_partitions)
+        query = writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", batch_partitions)
     if not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError("the stream did not drain in time")
