@@ -11,7 +11,12 @@ BLANKS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_SPACES = " " * len(BLANKS)
+# The same set without the space, as a Java class. The left part lets printable ASCII and the
+# common letter blocks fail on two range checks before the set itself is consulted.
+_OTHER_BLANK = (
+    r"[[^ -~\xa1-\x{167f}]&&[\t-\r\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+)
 # On cleaned text the only blank is the space.
 _SENTENCE_END = r"[.!?]++(?: ++|\z)"
 # A word made of end marks only; looks back only once an end mark is found.
@@ -39,7 +44,7 @@ def clean_text(text: Column) -> Column:
 
     One pass over the characters lets all later patterns deal with a single blank.
     """
-    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), BLANKS, _SPACES)
+    plain = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _OTHER_BLANK, " ")
     return F.trim(plain)
 
 
