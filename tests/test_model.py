@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
 
 from gripelens.operators.encode import apply_encoding, class_weights, fit_one_hot, fit_scaler
 from gripelens.operators.metrics import classification_report
@@ -111,4 +110,3 @@ def test_report_without_predictions_of_a_class(spark):
     df = spark.createDataFrame([(1, 0.0), (0, 0.0)], "label int, prediction double")
     got = {r["class"]: tuple(r)[1:] for r in classification_report(df).collect()}
     assert got["1"] == (0.0, 0.0, 0.0, 1)
-    assert F.lit(1) is not None

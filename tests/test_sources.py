@@ -77,4 +77,15 @@ def test_lookup_size_is_measured(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert runtime.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    class Session:
+        """Only what the rule looks at."""
+
+        def __init__(self, master, folder):
+            self.conf = {} if folder is None else {"spark.checkpoint.dir": folder}
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+    assert runtime.shared_folder(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert runtime.shared_folder(Session("local[8]", None)).endswith("/run-app-1")
+    with pytest.raises(RuntimeError):
+        runtime.shared_folder(Session("yarn", None))
+    assert runtime.fresh_path(spark, "x") != runtime.fresh_path(spark, "x")
