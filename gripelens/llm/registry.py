@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
+from gripelens.llm import toxicity
 from gripelens.llm.token_counts import length_histogram, length_table
 
 
@@ -21,11 +22,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from labelled rows that are not held out."""
+    docs, labels = toxicity.read_tables(spark, sf_dir)
+    model = toxicity.train(docs, labels)
+    held_out = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))
+    return model.score(docs.select("doc_id", "text")).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        "log_ratio",
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and digests both."""
     bpe = ByteBpe.load(_vocabulary())
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = bpe.decode(bpe.encode(docs).drop("text"))
+    decoded = bpe.encode(docs, decoded_col="decoded")
     listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
     return decoded.select(
         "doc_id",
@@ -39,10 +54,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents, with the totals of every limit."""
     bpe = ByteBpe.load(_vocabulary())
     docs = _table(spark, sf_dir, "documents").select("text")
-    return length_table(length_histogram(bpe.encode(docs, with_ids=False)))
+    return length_table(length_histogram(bpe.encode(docs, ids_col=None)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_token_counts": op9_token_counts,
 }
