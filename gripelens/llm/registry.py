@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
-from gripelens.llm import toxicity
+from gripelens.llm import secrets, toxicity
 from gripelens.llm.token_counts import length_histogram, length_table
 
 
@@ -57,10 +57,26 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_table(length_histogram(bpe.encode(docs, ids_col=None)))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base finds, and runs that look random."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratios = secrets.train(secrets.samples(docs))
+    return secrets.scan(docs, ratios).select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.array_join("base_spans", ","), 256).alias("base_sha256"),
+        F.array_join("spans", ",").alias("spans"),
+        "n_random",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_token_counts": op9_token_counts,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
