@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
 from gripelens.llm import secrets, toxicity
+from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.token_counts import length_histogram, length_table
 
 
@@ -22,6 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document: 3-word shingles, Jaccard 0.85."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return NearDedup(width=3, percent=85).run(docs)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from labelled rows that are not held out."""
     docs, labels = toxicity.read_tables(spark, sf_dir)
@@ -73,6 +80,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_dedup": op2_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_token_counts": op9_token_counts,
