@@ -21,6 +21,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -28,7 +29,7 @@ from gripelens.llm.pretokens import boundaries
 
 # Characters laid end to end at a time, and merged pieces a worker remembers.
 CHUNK_CHARS = 1_500_000
-CACHED_PIECES = 600_000
+CACHED_PIECES = 250_000
 _LONG_PIECE = 256
 _NEVER = 1 << 62
 
@@ -240,29 +241,35 @@ class ByteBpe:
         return cls(read_ranks(path))
 
     def encode(
-        self, df: DataFrame, text_col: str = "text", ids_col: str = "ids", count_col: str = "n_tokens",
-        with_ids: bool = True,
+        self, df: DataFrame, text_col: str = "text", ids_col: str | None = "ids", count_col: str = "n_tokens",
+        decoded_col: str | None = None,
     ) -> DataFrame:
-        """Adds the ids (array of int, unless ``with_ids`` is off) and their number."""
-        keep = [f for f in df.schema.fields if f.name not in (ids_col, count_col)]
-        added = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)] if with_ids else []
-        schema = T.StructType([*keep, *added, T.StructField(count_col, T.LongType(), False)])
+        """Adds the ids (array of int), their number, and, if named, what they decode to.
+
+        ``ids_col`` None leaves the ids out; decoding in the same pass saves carrying
+        them to a second operator.
+        """
+        added = [T.StructField(count_col, T.LongType(), False)]
+        if ids_col:
+            added.append(T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False))
+        if decoded_col:
+            added.append(T.StructField(decoded_col, T.BinaryType(), False))
+        new = {f.name for f in added}
+        keep = [f for f in df.schema.fields if f.name not in new]
         names, rank_file = [f.name for f in keep], self.rank_file
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = codec_of(rank_file)
-            for batch in batches:
-                texts = [t or "" for t in batch.column(text_col).to_pylist()]
-                ids, counts = codec.encode(texts)
-                columns = [batch.column(n) for n in names]
-                if with_ids:
+            for batch in slices(batches, text_col):
+                ids, counts = codec.encode([t or "" for t in batch.column(text_col).to_pylist()])
+                columns = [batch.column(n) for n in names] + [pa.array(counts)]
+                if ids_col:
                     columns.append(pa.ListArray.from_arrays(_offsets(counts), pa.array(ids)))
-                columns.append(pa.array(counts))
-                yield pa.RecordBatch.from_arrays(
-                    columns, [*names, *([ids_col] if with_ids else []), count_col]
-                )
+                if decoded_col:
+                    columns.append(_decoded(codec, ids, counts))
+                yield pa.RecordBatch.from_arrays(columns, [*names, *[f.name for f in added]])
 
-        return df.mapInArrow(run, schema)
+        return df.mapInArrow(run, T.StructType([*keep, *added]))
 
     def decode(self, df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
         """Adds the bytes that the ids stand for; null ids give empty bytes."""
@@ -272,22 +279,39 @@ class ByteBpe:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = codec_of(rank_file)
-            for batch in batches:
-                out = []
-                for row in batch.column(ids_col):
-                    ids = row.values
-                    if ids is None:
-                        out.append(b"")
-                    else:
-                        out.append(codec.decode(ids.to_numpy(zero_copy_only=False))[0].tobytes())
-                columns = [batch.column(n) for n in names]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(out, pa.binary())], [*names, bytes_col]
-                )
+            for batch in slices(batches, ids_col):
+                found = batch.column(ids_col)
+                counts = np.array([len(x) if x.is_valid else 0 for x in found], np.int64)
+                ids = found.flatten().to_numpy(zero_copy_only=False)
+                columns = [batch.column(n) for n in names] + [_decoded(codec, ids, counts)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, bytes_col])
 
         return df.mapInArrow(run, schema)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, so few at a time that ``column`` stays near CHUNK_CHARS values."""
+    for batch in batches:
+        values = batch.column(column)
+        sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
+        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK_CHARS, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def _decoded(codec: Codec, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary value per text, cut from the decoded bytes at the texts' offsets."""
+    raw, offsets = codec.decode(ids)
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    return pa.Array.from_buffers(
+        pa.binary(), len(counts), [None, pa.py_buffer(offsets[ends].astype(np.int32)), pa.py_buffer(raw)]
+    )
+
+
 def _offsets(counts: np.ndarray) -> pa.Array:
     out = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=out[1:])
