@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
 from gripelens.llm import secrets, toxicity
+from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.token_counts import length_histogram, length_table
 
@@ -23,6 +24,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one (Jaccard 0.9)."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return LineDedup(percent=90).run(docs)
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 3-word shingles, Jaccard 0.85."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,6 +87,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
@@ -87,4 +95,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-ORACLES: dict[str, str] = {}
+# Brute force over all pairs of distinct word sets whose sizes allow a match.
+LINE_DEDUP_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS value,
+         unnest(range(len(string_split(text, chr(10))))) AS line
+  FROM documents),
+sets AS (
+  SELECT doc_id, line, value,
+         list_sort(list_filter(list_distinct(regexp_split_to_array(lower(value), '\s+')), lambda w: w <> '')) AS words
+  FROM lines),
+classes AS (
+  SELECT words, len(words) AS n, min((doc_id, line)) AS first FROM sets WHERE len(words) > 0 GROUP BY words),
+near AS (
+  SELECT DISTINCT a.words FROM classes a JOIN classes b
+    ON b.n BETWEEN (a.n * 90 + 99) // 100 AND a.n * 100 // 90 AND b.first < a.first
+  WHERE a.n >= 9 AND 100 * len(list_intersect(a.words, b.words)) >= 90 * (a.n + b.n - len(list_intersect(a.words, b.words)))),
+marked AS (
+  SELECT s.doc_id, s.line, s.value,
+         c.words IS NOT NULL AND (n.words IS NOT NULL OR c.first <> (s.doc_id, s.line)) AS gone
+  FROM sets s LEFT JOIN classes c ON s.words = c.words LEFT JOIN near n ON s.words = n.words)
+SELECT doc_id, coalesce(string_agg(value, chr(10) ORDER BY line) FILTER (NOT gone), '') AS text,
+       CAST(count(*) AS INTEGER) AS n_lines, CAST(count(*) FILTER (gone) AS INTEGER) AS n_removed
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL}
