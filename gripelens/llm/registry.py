@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gripelens.llm.byte_bpe import ByteBpe
 from gripelens.llm import secrets, toxicity
 from gripelens.llm.line_dedup import LineDedup
+from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.token_counts import length_histogram, length_table
 
@@ -64,6 +65,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector with all others."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", whole(F.col("embedding")).alias("vector"))
+    index = MetricIndex.build(vectors)
+    return index.search(vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents, with the totals of every limit."""
     bpe = ByteBpe.load(_vocabulary())
@@ -91,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_exact_topk": op8_exact_topk,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
 }
@@ -120,4 +129,16 @@ SELECT doc_id, coalesce(string_agg(value, chr(10) ORDER BY line) FILTER (NOT gon
 FROM marked GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL}
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS vector FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.vector, c.vector) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+ORACLES: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op8_exact_topk": TOP_K_SQL}
