@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
-from gripelens.llm import secrets, toxicity
+from gripelens.llm import html_text, secrets, toxicity
 from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
@@ -37,6 +37,12 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDedup(width=3, percent=85).run(docs)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "html")
+    return html_text.extract(pages).select("page_id", F.length("text").cast("bigint").alias("n_chars"), "text")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document, learned from labelled rows that are not held out."""
     docs, labels = toxicity.read_tables(spark, sf_dir)
@@ -97,6 +103,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
+    "op4_html_text": op4_html_text,
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_topk": op8_exact_topk,
