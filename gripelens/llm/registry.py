@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
-from gripelens.llm import html_text, secrets, toxicity
+from gripelens.llm import decontaminate, html_text, secrets, toxicity
 from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
@@ -37,6 +37,12 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return NearDedup(width=3, percent=85).run(docs)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and the passage."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, _table(spark, sf_dir, "benchmark"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible text of every page."""
     pages = _table(spark, sf_dir, "pages").select("page_id", "html")
@@ -103,6 +109,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op4_html_text": op4_html_text,
     "op5_toxicity": op5_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
