@@ -13,6 +13,7 @@ from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.token_counts import length_histogram, length_table
+from gripelens.llm.training_order import TrainingOrder
 
 
 def _vocabulary() -> str:
@@ -63,6 +64,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as shards of 512 sequences of 2,048 token ids in training order."""
+    docs = _table(spark, sf_dir, "documents").select("text")
+    return TrainingOrder(ByteBpe.load(_vocabulary()), end_id=50256).shards(docs)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and digests both."""
     bpe = ByteBpe.load(_vocabulary())
@@ -112,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_html_text": op4_html_text,
     "op5_toxicity": op5_toxicity,
+    "op6_training_order": op6_training_order,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_exact_topk": op8_exact_topk,
     "op9_token_counts": op9_token_counts,
