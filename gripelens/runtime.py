@@ -34,9 +34,33 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{tempfile.gettempdir()}/run-{spark.sparkContext.applicationId}"
 
 
+# Paths handed out by this process and not released yet.
+_made: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark)}/gripelens/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/gripelens/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def made_paths() -> list[str]:
+    """Intermediate tables and files that have not been released, oldest first."""
+    return list(_made)
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete intermediate data: the given paths, or all that is left.
+
+    Results are lazy: release what a result reads only after the result is written.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made_paths() if paths is None else paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(hadoop).delete(target, True)
+        if path in _made:
+            _made.remove(path)
 
 
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
