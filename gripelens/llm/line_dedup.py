@@ -226,24 +226,24 @@ class LineDedup:
         gone = F.col("near") | ~place.eqNullSafe(F.col("first"))
         return marked.where(gone).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
-    def run(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """Every row of ``docs`` with its text less the repeated lines, ``n_lines`` and ``n_removed``."""
+    def run(
+        self, docs: DataFrame, text_col: str = "text", lines_col: str = "n_lines", removed_col: str = "n_removed"
+    ) -> DataFrame:
+        """Every row of ``docs`` with its text less the repeated lines, and both numbers of lines."""
         source = docs.select("doc_id", F.col(text_col).cast("string").alias("text")).where(
             F.col("doc_id").isNotNull()
         )
-        removed = materialise(self.removed_lines(source), "removed-lines").withColumnRenamed("doc_id", "_id")
-        keep = docs.drop("n_lines", "n_removed")
-        out = lookup_join(keep.withColumn("_id", F.col("doc_id")), removed, "_id", "left")
+        removed = materialise(
+            self.removed_lines(source).select(F.col("doc_id").alias("_removed_from"), F.col("removed").alias("_removed")),
+            "removed-lines",
+        )
+        keep = docs.drop(lines_col, removed_col)
+        out = lookup_join(keep.withColumn("_removed_from", F.col("doc_id")), removed, "_removed_from", "left")
         parts = F.split(text_col, "\n")
-        left = F.filter(parts, lambda part, i: ~F.array_contains("removed", i))
+        left = F.array_join(F.filter(parts, lambda part, i: ~F.array_contains("_removed", i)), "\n")
+        text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(left)
         return out.select(
-            *[
-                F.when(F.col("removed").isNull(), F.col(c)).otherwise(F.array_join(left, "\n")).alias(c)
-                if c == text_col
-                else F.col(c)
-                for c in keep.columns
-            ],
-            F.coalesce(F.size(parts), F.lit(0)).alias("n_lines"),
-            F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+            *[text.alias(c) if c == text_col else F.col(c) for c in keep.columns],
+            F.coalesce(F.size(parts), F.lit(0)).alias(lines_col),
+            F.coalesce(F.size("_removed"), F.lit(0)).alias(removed_col),
         )
-

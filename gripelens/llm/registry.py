@@ -16,7 +16,7 @@ from gripelens.llm.token_counts import length_histogram, length_table
 from gripelens.llm.training_order import TrainingOrder
 
 
-def _vocabulary() -> str:
+def vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -67,12 +67,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as shards of 512 sequences of 2,048 token ids in training order."""
     docs = _table(spark, sf_dir, "documents").select("text")
-    return TrainingOrder(ByteBpe.load(_vocabulary()), end_id=50256).shards(docs)
+    return TrainingOrder(ByteBpe.load(vocabulary()), end_id=50256).shards(docs)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text, decodes the ids, and digests both."""
-    bpe = ByteBpe.load(_vocabulary())
+    bpe = ByteBpe.load(vocabulary())
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     decoded = bpe.encode(docs, decoded_col="decoded")
     listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
@@ -93,7 +93,7 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents, with the totals of every limit."""
-    bpe = ByteBpe.load(_vocabulary())
+    bpe = ByteBpe.load(vocabulary())
     docs = _table(spark, sf_dir, "documents").select("text")
     return length_table(length_histogram(bpe.encode(docs, ids_col=None)))
 
