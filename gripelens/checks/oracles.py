@@ -168,7 +168,7 @@ def _features(preset: str, table: str) -> str:
 
 def _trimmed(source: str, groups: str, value: str) -> str:
     """Clip to the group's 0.01 and 0.99 quantiles, then summarise."""
-    return f"""values_ AS (SELECT {groups}, round({value}::DOUBLE, 6) AS x FROM {source} WHERE {value} IS NOT NULL),
+    return f"""values_ AS (SELECT {groups}, {value}::DOUBLE AS x FROM {source} WHERE {value} IS NOT NULL),
 bounds AS (
   SELECT {groups}, count(*) AS n, quantile_cont(x, 0.01) AS lower, quantile_cont(x, 0.99) AS upper,
          quantile_cont(x, 0.5) AS median

@@ -21,7 +21,7 @@ from gripelens.operators import metrics, profile, sampling, sentiment, trends
 from gripelens.plans import platform_model, reports
 from gripelens.plans.features import build_features, text_features
 from gripelens.plans.presets import PRESETS
-from gripelens.runtime import fresh_path, materialise, use_utc
+from gripelens.runtime import fresh_path, lookup_join, materialise, use_utc
 from gripelens.sources import tables
 from gripelens.streaming import monitor
 
@@ -87,8 +87,17 @@ def all_text_features(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
 
 def labelled_features(spark: SparkSession, sf: str) -> DataFrame:
     """Text features of all documents that have a model outcome."""
-    features = all_text_features(spark, sf, "platform", "verified_purchase", "rating")
-    return features.join(v.outcomes(spark, sf), "review_id")
+    texts = v.review_texts(spark, sf, spread=True).select(
+        "review_id", "text", "platform", "verified_purchase", "rating"
+    )
+    outcomes = v.outcomes(spark, sf)
+    return text_features(keep_ids(texts, outcomes), v.lexicon(spark)).join(outcomes, "review_id")
+
+
+def keep_ids(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the wanted reviews only, before any text work."""
+    ids = wanted.select("review_id").distinct()
+    return lookup_join(texts, ids, "review_id", "left_semi", spread_by="review_id")
 
 
 def correlation_coefs(spark: SparkSession, sf: str) -> DataFrame:
@@ -437,8 +446,9 @@ def sentiment_by_outcome(spark, sf):
 @query
 def feature_distribution(spark, sf):
     docs = v.review_texts(spark, sf, spread=True).select("review_id", "platform", "text")
-    marked = markers.lexical_markers(docs, "text", v.INTENSIFIERS, v.COMPLAINTS)
-    features = text_features(marked, v.lexicon(spark)).join(v.outcomes(spark, sf), "review_id")
+    outcomes = v.outcomes(spark, sf)
+    marked = markers.lexical_markers(keep_ids(docs, outcomes), "text", v.INTENSIFIERS, v.COMPLAINTS)
+    features = text_features(marked, v.lexicon(spark)).join(outcomes, "review_id")
     measures = ("review_length_words", "sentiment_subjectivity", "intensifier_count", "capital_ratio")
     return rounded(reports.feature_distribution(features, measures))
 
@@ -572,15 +582,18 @@ def trend_moving(spark, sf):
 def _streamed_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Events as incoming reviews: the star rule gives the outcome, the event type the platform."""
     use_utc(spark)
-    schema = v.table(spark, sf, "events").schema
-    incoming = monitor.read_review_stream(spark, sf, schema, "events.parquet").select(
+    # Many files in an order that has nothing to do with time, a few of them per batch.
+    events = v.table(spark, sf, "events")
+    arrived = fresh_path(spark, "arrived")
+    events.repartition(12, F.md5(F.col("event_id").cast("string"))).write.parquet(arrived)
+    incoming = monitor.read_review_stream(spark, arrived, events.schema, files_per_trigger=5).select(
         F.col("event_id").alias("review_id"),
         F.col("ts").cast("timestamp").alias("event_ts"),
         F.col("event_type").alias("platform"),
         label_rating((1 + F.col("event_id") % 5).cast("double")).alias("negative_experience"),
     )
-    shares = monitor.negative_share(incoming)
-    return monitor.drain_to_table(shares, fresh_path(spark, "shares"), fresh_path(spark, "stream"))
+    stored = monitor.drain_to_table(incoming, fresh_path(spark, "reviews"), fresh_path(spark, "stream"))
+    return monitor.negative_share(stored)
 
 
 @query

@@ -9,7 +9,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
-DEFAULT_FORMATS = ("yyyy-MM-dd", "MMM d, yyyy")
+# ISO dates and times, and dates with the month in words, in either order. Dates in figures
+# only are read year first, or month first between slashes.
+DEFAULT_FORMATS = (
+    "yyyy-M-d",
+    "yyyy-M-d HH:mm:ss",
+    "yyyy-M-d'T'HH:mm:ss",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d MMM, yyyy",
+    "d MMMM, yyyy",
+    "M/d/yyyy",
+)
 
 
 def from_epoch_ms(ms: Column) -> Column:

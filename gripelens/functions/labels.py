@@ -15,7 +15,8 @@ NOT_RECOMMENDED = "Not Recommended"
 def label_rating(stars: Column, offset: int = 0) -> Column:
     """Star rule. ``offset`` shifts raw labels first: use 1 to read 0-4 labels as 1-5 stars;
     the default 0 applies the thresholds to the raw label."""
-    value = stars + F.lit(offset) if offset else stars
+    # Not-a-number would compare as larger than every star.
+    value = F.nanvl(stars.cast("double"), F.lit(None)) + F.lit(offset)
     return (
         F.when(value <= NEGATIVE_MAX, F.lit(1)).when(value >= POSITIVE_MIN, F.lit(0)).cast("int")
     )

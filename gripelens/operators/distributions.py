@@ -2,10 +2,11 @@
 
 A group may hold a third of all rows, so no group is ever gathered. Rows are first
 reduced to distinct values with counts (map-side combined; hot groups spread over
-their values). Quantile ranks are then located with a coarse, order-preserving
-logarithmic bucket of the value: cumulative counts run over the buckets of a
-group (at most a few thousand), and only the values inside the buckets that
-hold a wanted rank are ordered.
+their values). Quantile ranks are then located with coarse, order-preserving buckets of the
+value: its logarithm together with its place between the group's extremes, so that
+wide and narrow ranges both spread. Cumulative counts run over the buckets of a group
+(some thousands at most), and only the values inside the buckets that hold a wanted rank
+are ordered. Values are never rounded.
 """
 
 from __future__ import annotations
@@ -15,16 +16,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gripelens.runtime import materialise
+from gripelens.runtime import lookup_join, materialise
 
 LOW, HIGH = 0.01, 0.99  # fixed values: winsorising quantiles
 MEDIAN = 0.5
 _PER_E_FOLD = 256  # buckets per factor e: neighbouring bounds differ by 0.4 percent
 _FINEST = 1e6
+_PLACES = 4096
 
 
 def value_counts(
-    df: DataFrame, groups: Sequence[str], value: str, digits: int | None = 6
+    df: DataFrame, groups: Sequence[str], value: str, digits: int | None = None
 ) -> DataFrame:
     """(groups..., x, n): distinct values of a group with their counts.
 
@@ -41,9 +43,13 @@ def value_counts(
     )
 
 
-def _bucket(x: Column) -> Column:
+def _bucket(x: Column, least: Column, most: Column) -> Column:
+    """Two parts, both growing with the value: logarithm, and place between the extremes."""
     size = F.floor(F.log1p(F.abs(x) * _FINEST) * _PER_E_FOLD)
-    return F.coalesce(F.when(x < 0, -size).otherwise(size), F.lit(0))
+    place = F.floor((x / 2 - least / 2) / F.nullif(most / 2 - least / 2, F.lit(0.0)) * _PLACES)
+    return F.struct(
+        F.coalesce(F.when(x < 0, -size).otherwise(size), F.lit(0)).alias("size"), F.coalesce(place, F.lit(0)).alias("place")
+    )
 
 
 def group_quantiles(
@@ -51,7 +57,9 @@ def group_quantiles(
 ) -> DataFrame:
     """(groups..., n_rows, q0, q1, ...) by linear interpolation between order statistics."""
     groups = list(groups)
-    counts = counts.withColumn("_bucket", _bucket(F.col("x")))
+    ends = counts.groupBy(*groups).agg(F.min("x").alias("_least"), F.max("x").alias("_most"))
+    counts = lookup_join(counts, ends, groups, spread_by="x")
+    counts = counts.withColumn("_bucket", _bucket(F.col("x"), F.col("_least"), F.col("_most"))).drop("_least", "_most")
     by_group = Window.partitionBy(*groups)
     running = by_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     buckets = (
@@ -98,7 +106,7 @@ def group_quantiles(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
-        counts.join(per_bucket, [*groups, "_bucket"])
+        lookup_join(counts, per_bucket, [*groups, "_bucket"], spread_by="x")
         .withColumn("_upto", F.sum("n").over(within))
         .select(*groups, "n_rows", "x", "n", "_upto", F.inline("_ranks"))
         .where((F.col("_upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("_upto")))
@@ -129,7 +137,7 @@ def winsorised_counts(
     bounds = group_quantiles(counts, groups, (low, MEDIAN, high)).select(
         *groups, "n_rows", F.col("q0").alias("lower"), F.col("q1").alias("median"), F.col("q2").alias("upper")
     )
-    return counts.join(bounds, groups).withColumn(
+    return lookup_join(counts, bounds, groups, spread_by="x").withColumn(
         "clipped", F.greatest(F.col("lower"), F.least(F.col("upper"), F.col("x")))
     )
 

@@ -28,7 +28,9 @@ def _number(value: float) -> str:
     return f"({float(value)!r}D)"
 
 
-def _text(value: str) -> str:
+def _text(value: str | None) -> str:
+    if value is None:
+        return "cast(NULL AS string)"
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
@@ -61,33 +63,40 @@ def fit_scaler(train: DataFrame, numeric: Sequence[str], prefix: str = "num_scal
     return out
 
 
-def categories(train: DataFrame, column: str) -> list[str]:
-    """Distinct values as text, in alphabetical order."""
+def categories(train: DataFrame, column: str) -> list[str | None]:
+    """Distinct values as text, in alphabetical order; a missing value is a category, the last."""
     dtype = train.schema[column].dataType.typeName()
     seen = (
         train.select(F.expr(_as_category(column, dtype)).alias("v"))
-        .where(F.col("v").isNotNull())
         .distinct()
         .limit(MAX_CATEGORIES + 1)
         .collect()
     )
     if len(seen) > MAX_CATEGORIES:
         raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
-    return sorted(r["v"] for r in seen)
+    return sorted((r["v"] for r in seen), key=lambda v: (v is None, v))
 
 
-def fit_one_hot(train: DataFrame, categorical: Mapping[str, str]) -> list[Encoded]:
+def fit_one_hot(
+    train: DataFrame, categorical: Mapping[str, str], unknown: str = "zero"
+) -> list[Encoded]:
     """``categorical`` maps a name prefix to a column. A two-valued column gives one
-    indicator (of the later value); any other gives one per value."""
+    indicator (of the later value); any other gives one per value. A value that training did not
+    see has zeros everywhere, or fails the job with ``unknown="error"``."""
     out = []
     for prefix, column in categorical.items():
         dtype = train.schema[column].dataType.typeName()
         values = categories(train, column)
+        value = _as_category(column, dtype)
+        otherwise = "0.0D"
+        if unknown == "error":
+            known = " OR ".join(f"{value} <=> {_text(v)}" for v in values) or "false"
+            message = _text(f"{column} holds a value that training did not see")
+            otherwise = f"if({known}, 0.0D, cast(raise_error({message}) AS double))"
         if len(values) == 2:
             values = values[1:]
         for v in values:
-            test = f"{_as_category(column, dtype)} <=> {_text(v)}"
-            out.append(Encoded(f"{prefix}{column}_{v}", f"if({test}, 1.0D, 0.0D)"))
+            out.append(Encoded(f"{prefix}{column}_{v}", f"if({value} <=> {_text(v)}, 1.0D, {otherwise})"))
     return out
 
 

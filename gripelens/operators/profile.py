@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gripelens.operators.cleaning import melt
@@ -18,8 +18,12 @@ def data_profile(df: DataFrame, label_col: str = "negative_experience") -> DataF
 
 
 def missing_profile(df: DataFrame, top: int = 10) -> DataFrame:
-    """Missing values per column, most first; one pass whatever the number of columns."""
-    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in df.columns])
+    """Missing values (null, not a number) per column, most first; one pass whatever the number of columns."""
+    def missing(name: str, dtype: str) -> Column:
+        column = F.col("`" + name.replace("`", "``") + "`")
+        return column.isNull() | F.isnan(column) if dtype in ("float", "double") else column.isNull()
+
+    counts = df.agg(*[F.count_if(missing(c, t)).alias(c) for c, t in df.dtypes])
     return (
         melt(counts, [], df.columns, "column_name", "missing")
         .orderBy(F.col("missing").desc(), "column_name")

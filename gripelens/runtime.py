@@ -96,7 +96,7 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
-    on: str,
+    on: str | list[str],
     how: str = "inner",
     small: bool | None = None,
     spread_by: str | None = None,
@@ -118,6 +118,6 @@ def lookup_join(
     copies = F.explode(F.sequence(F.lit(0), F.lit(LOOKUP_SALTS - 1)))
     return (
         facts.withColumn("_salt", salt)
-        .join(lookup.withColumn("_salt", copies), [on, "_salt"], how)
+        .join(lookup.withColumn("_salt", copies), [*([on] if isinstance(on, str) else on), "_salt"], how)
         .drop("_salt")
     )

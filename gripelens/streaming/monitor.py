@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gripelens.operators.cleaning import drop_missing
 from gripelens.operators.sentiment import Lexicon
@@ -37,16 +38,14 @@ def negative_share(
 ) -> DataFrame:
     """(platform, window_start, n, negative, share), for a stream or a batch.
 
-    Repeated ids are counted once (state is kept for ``lateness``), and state is
-    one row per platform and window. In append mode a window is emitted after the watermark
-    passed it; later rows are dropped.
+    Repeated ids are counted once. A stream remembers ids for ``lateness`` and keeps one row per
+    platform and window; a window is emitted after the watermark passed it, and later rows are
+    dropped (``late_rows`` counts them). A batch has no such limits.
     """
-    unique = reviews.withWatermark(ts_col, lateness)
-    unique = (
-        unique.dropDuplicatesWithinWatermark([id_col])
-        if reviews.isStreaming
-        else unique.dropDuplicates([id_col])
-    )
+    if reviews.isStreaming:
+        unique = reviews.withWatermark(ts_col, lateness).dropDuplicatesWithinWatermark([id_col])
+    else:
+        unique = reviews.dropDuplicates([id_col])
     bucket = F.window(ts_col, window, slide) if slide else F.window(ts_col, window)
     return (
         unique.where(F.col(label_col).isNotNull())
@@ -67,43 +66,60 @@ def alerts(shares: DataFrame, threshold: float, min_reviews: int = 1) -> DataFra
     return shares.where((F.col("share") > threshold) & (F.col("n") >= min_reviews))
 
 
-def drain_to_table(
-    stream: DataFrame,
-    out_path: str,
-    checkpoint: str,
-    timeout_s: int = 3600,
-    state_partitions: int | None = None,
-) -> DataFrame:
-    """Process what is there now and return the result table.
+def drain_to_table(stream: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
+    """Store what is there now and was not stored before; return all that is stored.
 
-    Complete mode: each batch replaces the table, so windows that the watermark has not
-    closed yet are included. The sink writes from the executors. ``state_partitions`` is
-    fixed by the first run of a checkpoint; it defaults to one per core.
+    Rows are stored as they come, one folder per batch, which a retried batch replaces. No row
+    is too late for this: windows over the stored table are a batch job (``negative_share``
+    of the result), so the outcome depends neither on the order of the files nor on how
+    many of them make a batch.
     """
-    conf = stream.sparkSession.conf
-    batch_partitions = conf.get("spark.sql.shuffle.partitions")
-    if state_partitions is None:
-        state_partitions = stream.sparkSession.sparkContext.defaultParallelism
 
-    def replace(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+    def store(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
-    writer = (
-        stream.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
+    query = (
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(replace)
+        .foreachBatch(store)
+        .start()
     )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(out_path)
+
+
+def watch(
+    shares: DataFrame, out_path: str, checkpoint: str, state_partitions: int | None = None, once: bool = False
+) -> StreamingQuery:
+    """The live job: append each window to ``out_path`` once the watermark has closed it.
+
+    ``state_partitions`` is fixed by the first run of a checkpoint; it defaults to one per core.
+    """
+    conf = shares.sparkSession.conf
+    batch_partitions = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions is None:
+        state_partitions = shares.sparkSession.sparkContext.defaultParallelism
+    writer = (
+        shares.writeStream.outputMode("append").format("parquet")
+        .option("path", out_path).option("checkpointLocation", checkpoint)
+    )
+    if once:
+        writer = writer.trigger(availableNow=True)
     try:
         # A query copies the settings when it starts; batch jobs keep their own number.
         conf.set("spark.sql.shuffle.partitions", state_partitions)
-        query = writer.start()
+        return writer.start()
     finally:
         conf.set("spark.sql.shuffle.partitions", batch_partitions)
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError("the stream did not drain in time")
-    return stream.sparkSession.read.schema(stream.schema).parquet(out_path)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the recent batches of a live job dropped because their window was closed."""
+    return sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )
 
 
 def score_incoming(
@@ -115,7 +131,6 @@ def score_incoming(
     out_path: str,
     checkpoint: str,
     keep_ts: str,
-    timeout_s: int = 3600,
 ) -> DataFrame:
     """Predict the outcome of incoming, still unlabelled reviews and store (id, time, prediction).
 
@@ -125,13 +140,12 @@ def score_incoming(
     """
 
     def score(batch: DataFrame, epoch: int) -> None:
-        ids = batch.select("review_id", F.col(keep_ts).alias("event_ts"))
-        dated = add_age(drop_missing(batch.drop(keep_ts), preset.text), preset, as_of)
+        timed = batch.withColumn("event_ts", F.col(keep_ts))
+        dated = add_age(drop_missing(timed, preset.text), preset, as_of)
         features = text_features(dated, lexicon, "review_id", preset.text)
-        scored = pipeline.transform(features).select(
-            "review_id", F.col("prediction").cast("int").alias("negative_experience")
-        )
-        scored.join(ids, "review_id").write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
+        pipeline.transform(features).select(
+            "review_id", "event_ts", F.col("prediction").cast("int").alias("negative_experience")
+        ).write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)
@@ -139,7 +153,5 @@ def score_incoming(
         .foreachBatch(score)
         .start()
     )
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-        raise TimeoutError("the stream did not drain in time")
-    return stream.sparkSession.read.parquet(out_path)
+    query.awaitTermination()
+    return stream.sparkSession.read.parquet(out_path).drop("batch")

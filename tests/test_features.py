@@ -108,17 +108,33 @@ def test_reports_of_small_tables(spark):
     def frame(rows, schema):
         return spark.createDataFrame(rows, schema)
 
+    nan = float("nan")
     base = "sentiment_polarity double, negative_experience int, "
     frames = {
-        "amazon_beauty": frame([(0.3, 0, 5.0), (-0.5, 1, 1.0), (-0.2, 1, 2.0), (0.1, 0, 4.0)], base + "rating double"),
-        "steam": frame([(0.2, 0, "Recommended"), (-0.6, 1, "Not Recommended")], base + "recommend string"),
-        "yelp": frame([(0.1, 1, 0), (-0.4, 0, 4), (-0.2, 1, 1), (0.3, 1, 0)], base + "label int"),
-        "elsewhere": frame([(1,)], "x int"),
+        "amazon_health": frame(
+            [(-0.125, 1, 2.5), (-0.125, 1, 1.5), (-0.75, 1, nan), (0.5, 0, 4.5), (None, 1, 2.0), (0.25, None, 3.0)],
+            base + "rating double",
+        ),
+        "steam": frame([(0.0, 1, "Not Recommended"), (nan, 1, None), (0.625, 0, "Recommended")], base + "recommend string"),
+        "yelp": frame([(-1.0, 1, 1), (-1.0, 1, 1), (1.0, 0, None)], base + "label int"),
+        "unknown_shop": frame([(7,)], "x int"),
     }
-    h2 = {r.platform: r for r in sentiment_by_platform(frames).collect()}
-    assert {p: r.n for p, r in h2.items()} == {"Amazon (Beauty)": 2, "Steam": 1, "Yelp": 3}
-    assert h2["Amazon (Beauty)"].median == pytest.approx(-0.35)
-    del frames["elsewhere"]
-    h3 = {(r.dataset, r.outcome): r.n for r in sentiment_by_outcome(frames).collect()}
-    assert h3[("yelp", "1")] == 2 and h3[("amazon_beauty", "5")] == 1 and h3[("steam", "Recommended")] == 1
-    assert outcome_group("elsewhere") is None
+    by_platform = {r.platform: r for r in sentiment_by_platform(frames).collect()}
+    assert {p: r.n for p, r in by_platform.items()} == {"Amazon (Health)": 3, "Steam": 1, "Yelp": 2}
+    assert by_platform["Amazon (Health)"].median == pytest.approx(-0.125)
+    by_outcome = {(r.dataset, r.outcome): r.n for r in sentiment_by_outcome(frames).collect()}
+    # Half stars go to the even neighbour; rows without an outcome or a polarity are left out.
+    assert by_outcome == {
+        ("amazon_health", "2"): 2, ("amazon_health", "4"): 1, ("amazon_health", "3"): 1,
+        ("steam", "Not Recommended"): 1, ("steam", "Recommended"): 1, ("yelp", "2"): 2,
+    }
+    assert outcome_group("unknown_shop") is None
+    only = {"unknown_shop": frames["unknown_shop"]}
+    assert sentiment_by_outcome(only).count() == 0 and sentiment_by_platform(only).count() == 0
+
+
+def test_unlabelled_texts_are_not_tokenised(spark, sf_dir):
+    from gripelens.checks.registry import labelled_features
+
+    plan = labelled_features(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("LeftSemi") > plan.rindex("Generate")  # below the text work

@@ -1,3 +1,5 @@
+from gripelens.functions.dates import parse_date
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -49,3 +51,31 @@ def test_lenient_dates(spark):
     texts = ["2024-01-05", "Jan 5, 2024", "", "junk", None, "2024-13-01"]
     got = column(spark, texts, "string", lambda c: F.date_format(parse_date(c), "yyyy-MM-dd"))
     assert got == ["2024-01-05", "2024-01-05", None, None, None, None]
+
+
+def test_values_that_are_not_numbers(spark):
+    from gripelens.functions.labels import label_rating
+    from gripelens.operators.encode import apply_encoding, fit_one_hot
+    from gripelens.operators.profile import missing_profile
+
+    df = spark.createDataFrame([(float("nan"), True), (None, False), (1.0, None), (4.5, True)], "r double, b boolean")
+    assert [r[0] for r in df.select(label_rating(F.col("r"))).collect()] == [None, None, 1, 0]
+    missing = {r["column_name"]: r["missing"] for r in missing_profile(df).collect()}
+    assert missing == {"r": 2, "b": 1}
+    encoded = fit_one_hot(df, {"cat__": "b"})
+    assert [e.name for e in encoded] == ["cat__b_False", "cat__b_True", "cat__b_None"]
+    got = [tuple(r) for r in apply_encoding(df, encoded).collect()]
+    assert got == [(0, 1, 0), (1, 0, 0), (0, 0, 1), (0, 1, 0)]
+    known = fit_one_hot(df.where("b"), {"cat__": "b"}, unknown="error")
+    with pytest.raises(Exception, match="did not see"):
+        apply_encoding(df, known).collect()
+
+
+def test_date_styles(spark):
+    styles = [
+        "2024-01-05", "2024-1-5", "2024-01-05 10:00:00", "2024-01-05T10:00:00", "Jan 5, 2024", "January 5, 2024",
+        "5 January, 2024", "01/05/2024",
+    ]
+    df = spark.createDataFrame([(x,) for x in [*styles, "", "someday", None]], "d string")
+    got = [str(r[0]) for r in df.select(F.to_date(parse_date(F.col("d")))).collect()]
+    assert got == ["2024-01-05"] * len(styles) + ["None"] * 3

@@ -21,31 +21,52 @@ def reviews(spark, n=400):
     return spark.createDataFrame(rows, "review_id int, platform string, event_ts timestamp, negative_experience int")
 
 
-def test_stream_equals_batch(spark, tmp_path):
+def shares_of(table):
+    return sorted(map(tuple, table.collect()))
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 2, 1000])
+def test_drained_result_does_not_depend_on_batches(spark, tmp_path, files_per_trigger):
     df = reviews(spark)
     source = str(tmp_path / "in")
-    # Repeated rows arrive in the same file and must count once.
-    df.union(df.limit(50)).repartition(1).write.parquet(source)
-    stream = monitor.read_review_stream(spark, source, df.schema)
-    shares = monitor.negative_share(stream)
-    table = monitor.drain_to_table(shares, str(tmp_path / "out"), str(tmp_path / "cp"))
-    batch = monitor.negative_share(df)
-    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, batch.collect()))
+    # Newest reviews first, the oldest far behind any watermark, repeated rows in several files.
+    for part in ("review_id >= 300", "review_id < 40", "review_id BETWEEN 40 AND 310", "review_id < 60"):
+        df.where(part).coalesce(1).write.mode("append").parquet(source)
+    stream = monitor.read_review_stream(spark, source, df.schema, files_per_trigger=files_per_trigger)
+    stored = monitor.drain_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    table = monitor.negative_share(stored)
+    assert shares_of(table) == shares_of(monitor.negative_share(df))
     high = monitor.alerts(table, 0.5, min_reviews=3)
     assert {r.platform for r in high.collect()} <= {r.platform for r in table.collect()}
     assert all(r.share > 0.5 and r.n >= 3 for r in high.collect())
 
 
-def test_later_files_continue_the_state(spark, tmp_path):
+def test_later_files_are_added(spark, tmp_path):
     df = reviews(spark)
     source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
-    df.where("review_id < 200").coalesce(1).write.parquet(source)
-    monitor.drain_to_table(monitor.negative_share(monitor.read_review_stream(spark, source, df.schema)), out, cp)
-    df.where("review_id >= 190").coalesce(1).write.mode("append").parquet(source)
-    stream = monitor.read_review_stream(spark, source, df.schema)
-    table = monitor.drain_to_table(monitor.negative_share(stream), out, cp)
-    batch = monitor.negative_share(df)
-    assert sorted(map(tuple, table.collect())) == sorted(map(tuple, batch.collect()))
+    df.where("review_id >= 200").coalesce(1).write.parquet(source)
+    monitor.drain_to_table(monitor.read_review_stream(spark, source, df.schema), out, cp)
+    df.where("review_id < 210").coalesce(1).write.mode("append").parquet(source)
+    stored = monitor.drain_to_table(monitor.read_review_stream(spark, source, df.schema), out, cp)
+    assert shares_of(monitor.negative_share(stored)) == shares_of(monitor.negative_share(df))
+
+
+def test_live_job_emits_closed_windows_and_counts_late_rows(spark, tmp_path):
+    df = reviews(spark).where("negative_experience IS NOT NULL")
+    source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+
+    def run(part):
+        df.where(part).coalesce(1).write.mode("append").parquet(source)
+        shares = monitor.negative_share(monitor.read_review_stream(spark, source, df.schema))
+        query = monitor.watch(shares, out, cp, state_partitions=2, once=True)
+        query.awaitTermination()
+        return monitor.late_rows(query)
+
+    assert run("review_id BETWEEN 100 AND 399") == 0
+    assert run("review_id < 50") > 0  # two weeks behind the watermark
+    emitted = spark.read.parquet(out)
+    want = {tuple(r) for r in monitor.negative_share(df.where("review_id >= 100")).collect()}
+    assert emitted.count() and {tuple(r) for r in emitted.collect()} <= want
 
 
 def test_sliding_windows(spark):
