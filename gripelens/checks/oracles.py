@@ -268,6 +268,11 @@ vocabulary AS (SELECT count(DISTINCT gram) AS v FROM counts)"""
 
 _EVENT_CATEGORIES = ("click", "error", "purchase", "signup", "view")
 
+def _contents(source: str, *columns: str) -> str:
+    values = ", ".join(f"coalesce({c}::VARCHAR, '')" for c in columns)
+    return f"keyed AS (SELECT *, md5(concat_ws(chr(31), {values})) AS content FROM {source})"
+
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "scan_json": _with(DOCS) + "SELECT review_id, rating, text, verified_purchase FROM docs",
@@ -284,6 +289,16 @@ UNION ALL SELECT review_id, NULL, NULL, role, label FROM chats""",
     + f"SELECT review_id, platform, {_TEXT_OUT} FROM docs JOIN feat USING (review_id)",
     "scan_coefs": _with(*_WITH_COEFS) + "SELECT platform, feature, coef FROM coefs",
     # sampling
+    # data sets from raw sources
+    "create_amazon": _with(
+        DOCS,
+        """head AS (
+  SELECT * FROM (SELECT *, row_number() OVER (ORDER BY review_id) - 1 AS position FROM docs) WHERE position < 160)""",
+        _contents("head", "rating", "text", "verified_purchase"),
+    )
+    + f"""SELECT rating, text, verified_purchase, content FROM ({_ranked('keyed', 'content', 42)}) WHERE rn <= 60""",
+    "create_yelp": _with(DOCS, _contents("docs", "rating", "text"))
+    + f"SELECT rating, text, content FROM ({_ranked('keyed', 'content', 33)}) WHERE rn <= 80",
     "sample_bounded": _with(DOCS, "head AS (SELECT * FROM docs WHERE review_id < 500)")
     + f"SELECT review_id, platform, rating FROM ({_ranked('head', 'review_id', 42)}) WHERE rn <= 100",
     "sample_uniform": f"SELECT event_id, event_type, round(value, 6) AS value FROM ({_ranked('events', 'event_id', 33)}) WHERE rn <= 400",
@@ -495,3 +510,10 @@ FROM daily WINDOW recent AS (PARTITION BY platform ORDER BY d ROWS BETWEEN 6 PRE
   {', '.join(f'round(avg({c}), 6) AS avg_{c}' for c in TEXT_FEATURES)}
 FROM docs JOIN feat USING (review_id) JOIN outcomes USING (review_id) GROUP BY ALL""",
 }
+ORACLES["create_steam"] = _with(
+    DOCS,
+    f"predicted AS ({ORACLES['lang_detect']})",
+    "english AS (SELECT * FROM docs JOIN predicted USING (review_id) WHERE lang_detected = 'en' AND trim(text) <> '')",
+    _contents("english", "text", "recommend", "platform"),
+) + """SELECT platform AS "user", text AS review, recommend FROM (
+  SELECT *, row_number() OVER (ORDER BY md5('33:' || platform), md5('33:' || content)) AS rn FROM keyed) WHERE rn <= 70"""

@@ -18,7 +18,7 @@ from gripelens.functions.labels import label_rating, label_recommend
 from gripelens.functions.names import display_name
 from gripelens.operators import cleaning, coefs, distributions, encode, language, markers
 from gripelens.operators import metrics, profile, sampling, sentiment, trends
-from gripelens.plans import platform_model, reports
+from gripelens.plans import datasets, platform_model, reports
 from gripelens.plans.features import build_features, text_features
 from gripelens.plans.presets import PRESETS
 from gripelens.runtime import fresh_path, lookup_join, materialise, use_utc
@@ -131,6 +131,43 @@ def scan_json(spark, sf):
     return tables.read_json_reviews(spark, path, schema)
 
 
+@query
+def create_amazon(spark, sf):
+    """JSON lines in the order of the ids -> a sample of the head."""
+    path, columns = fresh_path(spark, "amazon-json"), ("rating", "text", "verified_purchase")
+    v.review_texts(spark, sf).orderBy("review_id").coalesce(1).select(*columns).write.json(path)
+    schema = "rating double, text string, verified_purchase boolean"
+    out = fresh_path(spark, "amazon")
+    made = datasets.create_amazon(spark, path, out, n=60, buffer=100, schema=schema)
+    return made.select(*columns, F.substring("review_id", 1, 32).alias("content"))
+
+
+@query
+def create_yelp(spark, sf):
+    path, out = fresh_path(spark, "yelp-source"), fresh_path(spark, "yelp")
+    v.review_texts(spark, sf).select("rating", "text").write.parquet(path)
+    made = datasets.create_yelp(spark, path, out, n=80)
+    return made.select("rating", "text", F.substring("review_id", 1, 32).alias("content"))
+
+
+@query
+def create_steam(spark, sf):
+    """One CSV folder part per platform -> English by prediction -> whole files until the target."""
+    path = fresh_path(spark, "steam-csv")
+    docs = v.review_texts(spark, sf)
+    rows = docs.select(F.col("text").alias("review"), "recommend", F.col("platform").alias("user"))
+    tables.write_csv(rows.repartition(8, "user"), path)
+    counts = materialise(language.gram_counts(docs), "gram-counts")
+    stored = fresh_path(spark, "language-model")
+    language.LanguageModel.from_counts(counts).save(stored)
+    model = language.LanguageModel.load(spark, stored)
+    made = datasets.create_steam(
+        spark, path, fresh_path(spark, "steam-raw"), fresh_path(spark, "steam"), model, n=70,
+        game=lambda df: F.col("user"), schema="review string, recommend string, user string",
+    )
+    return made.select("user", "review", "recommend")
+
+
 @query
 def scan_parquet(spark, sf):
     return v.table(spark, sf, "documents")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.runtime import fits_broadcast, lookup_join
@@ -108,6 +108,20 @@ class LanguageModel:
         )
         return LanguageModel(languages, scores, fits_broadcast(scores))
 
+    def save(self, path: str) -> None:
+        """One parquet table; the languages are part of its column names."""
+        named = {f"score_{i}": f"score_{i}_{lang}" for i, lang in enumerate(self.languages)}
+        self.scores.withColumnsRenamed(named).write.parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "LanguageModel":
+        stored = spark.read.parquet(path)
+        named = {c: c.split("_", 2) for c in stored.columns if c.startswith("score_")}
+        languages = tuple(lang for _, _, lang in sorted(named.values(), key=lambda p: int(p[1])))
+        scores = stored.withColumnsRenamed({c: f"score_{i}" for c, (_, i, _) in named.items()})
+        scores = scores.select("code", *[f"score_{i}" for i in range(len(languages))])
+        return LanguageModel(languages, scores, fits_broadcast(scores))
+
 
 def detect_language(
     df: DataFrame, model: LanguageModel, id_col: str = "review_id", text_col: str = "text"

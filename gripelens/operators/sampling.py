@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 _DIGITS = 3
 _RANK_LIMIT = 20_000
-_KEY_LENGTH = 32
+_KEY_LENGTH = 48  # a digest, and a place among equal rows
 
 
 @dataclass(frozen=True)
@@ -122,6 +122,11 @@ def sample_uniform(df: DataFrame, n: int, id_col: str, seed: int = 33) -> DataFr
     return df.where(_upto(key, find_cuts(_keys(df, key), {0: n})[0]))
 
 
+def sample_by_key(df: DataFrame, n: int, key: Column) -> DataFrame:
+    """The ``n`` rows with the lowest keys (hex text, unique)."""
+    return df.where(_upto(key, find_cuts(_keys(df, key), {0: n})[0]))
+
+
 def sample_bounded(
     df: DataFrame,
     n: int,
@@ -143,16 +148,17 @@ def sample_files(
     id_col: str,
     file_col: str,
     seed: int = 33,
+    key: Column | None = None,
 ) -> DataFrame:
     """Whole files in hash order until ``n`` rows are reached; the last file gives
-    only as many rows as are missing, chosen by row hash.
+    only as many rows as are missing, chosen by row hash (or by ``key``).
 
     ``df`` holds the eligible rows. If eligibility is costly to decide, pass a
     materialised table: this makes a pass for the file sizes and one inside the
     last file.
     """
     file_key = hash_key(F.col(file_col), seed)
-    row_key = hash_key(F.col(id_col), seed)
+    row_key = hash_key(F.col(id_col), seed) if key is None else key
     sizes = df.groupBy(file_col).agg(F.count("*").alias("rows"))
     sizes = sizes.persist()
     try:
