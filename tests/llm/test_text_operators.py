@@ -1,0 +1,251 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from gripelens.llm import decontaminate, html_text, secrets, toxicity
+from gripelens.llm.line_dedup import LineDedup
+from gripelens.llm.near_dedup import NearDedup
+from tests.compare import connect, difference, spark_table, sql_table
+
+
+def words(rng, n, size=400):
+    return [f"w{rng.randrange(size)}" for _ in range(n)]
+
+
+# ---- line dedup
+
+def kept_lines(texts, percent):
+    """Brute force: (text, lines removed) per document."""
+    lines = [(d, i, frozenset(line.lower().split())) for d, t in enumerate(texts) for i, line in enumerate((t or "").split("\n"))]
+    out = []
+    for d, t in enumerate(texts):
+        parts = []
+        for i, line in enumerate((t or "").split("\n")):
+            own = frozenset(line.lower().split())
+            gone = own and any(
+                s and 100 * len(s & own) >= percent * len(s | own) for e, j, s in lines if (e, j) < (d, i)
+            )
+            if not gone:
+                parts.append(line)
+        out.append("\n".join(parts) if t is not None else None)
+    return out
+
+
+@pytest.mark.parametrize("percent", [90, 80])
+def test_line_dedup_is_exact(spark, docs, percent):
+    rng = random.Random(percent)
+    base = [words(rng, rng.choice([1, 3, 9, 10, 12, 25, 60])) for _ in range(60)]
+    texts = []
+    for _ in range(60):
+        lines = []
+        for _ in range(rng.randrange(1, 8)):
+            line = list(rng.choice(base)) if rng.random() < 0.6 else words(rng, rng.randrange(1, 40))
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                line[rng.randrange(len(line))] = f"x{rng.randrange(50)}"
+            lines.append(" ".join(line))
+        texts.append("\n".join(lines))
+    texts += [None, "", "\n\n", texts[0], "A  b\tA\r", "b a"]
+    got = LineDedup(percent=percent).run(docs(texts)).orderBy("doc_id").collect()
+    assert [r["text"] for r in got] == kept_lines(texts, percent)
+
+
+def test_line_dedup_large_family_and_odd_rows(spark, docs):
+    common = " ".join(f"c{i}" for i in range(40))
+    texts = [common] + [f"{common} n{i}" for i in range(300)]
+    got = LineDedup(percent=90).run(docs(texts)).orderBy("doc_id").collect()
+    assert got[0]["text"] == common and all(r["text"] == "" and r["n_removed"] == 1 for r in got[1:])
+    odd = docs(["x y", "x y", "x y"], ids=[None, 7, 7]).selectExpr("*", "1 AS n_removed", "2 AS _removed_", "3 AS removed")
+    rows = LineDedup().run(odd).collect()
+    assert [r["text"] for r in rows] == ["x y"] * 3 and {r["removed"] for r in rows} == {3}
+    assert LineDedup().run(docs([])).count() == 0
+
+
+# ---- near dedup
+
+def near_components(texts, width, percent):
+    sets = []
+    for t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else ({tuple(w)} if w else set()))
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(x) + 1 for x in range(len(texts))], [len(s) for s in sets]
+
+
+def test_near_dedup_against_brute_force(spark, docs):
+    rng = random.Random(3)
+    base = [words(rng, rng.choice([2, 5, 40, 120]), 5000) for _ in range(20)]
+    texts = []
+    for b in base:
+        for _ in range(rng.choice([1, 2, 12])):
+            t = list(b)
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                t[rng.randrange(len(t))] = "changed"
+            texts.append(" ".join(t))
+    hub = words(rng, 150, 10_000)  # a star: variants resemble the middle more than each other
+    for k in range(60):
+        t = list(hub)
+        t[(2 * k + 5) % 150] = f"u{k}"
+        t[(7 * k + 60) % 150] = f"v{k}"
+        texts.append(" ".join(t))
+    texts.append(" ".join(hub))
+    texts += [None, "", "one", "ONE", "É é", "é é"]
+    for width, percent in ((3, 85), (5, 80)):
+        want, sizes = near_components(texts, width, percent)
+        got = NearDedup(width, percent).run(docs(texts).select("doc_id", "text")).orderBy("doc_id").collect()
+        assert [r["n_shingles"] for r in got] == sizes
+        assert [r["component_id"] for r in got] == want
+        assert [r["kept"] for r in got] == [c == i + 1 for i, c in enumerate(want)]
+
+
+def test_near_dedup_odd_rows(spark, docs):
+    run = NearDedup(3, 85).run
+    assert run(docs([])).count() == 0
+    got = run(docs(["a b c d", "a b c d", "a b c d"], ids=[None, 4, 4])).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in got) == [(0, 4), (4, 4), (4, 4)]
+
+
+# ---- decontamination
+
+def test_decontamination(spark, docs):
+    rng = random.Random(9)
+    item = words(rng, 40, 10**6)
+    answer = words(rng, 5, 10**6)
+    asked = " ".join(item) + ". " + " ".join(answer) + "."
+    filler = lambda n: " ".join(words(rng, n, 3000))
+    reworded = [w if i % 5 < 3 else f"r{i}" for i, w in enumerate(item)]
+    texts = [
+        filler(300) + " " + asked + " " + filler(200),
+        asked.upper(),
+        filler(90) + " " + " ".join(reworded) + " " + " ".join(answer) + " " + filler(60),
+        filler(90) + " " + " ".join(reworded) + " " + filler(60),
+        filler(500), " ".join(item[:10]), None, "", filler(5000) + asked,
+    ]
+    bench = spark.createDataFrame([(1, asked), (2, None), (3, "too short"), (4, " ".join(words(rng, 20, 10**6)))], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs(texts), bench).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (9, 1)}
+    assert decontaminate.matches(docs([]), bench).count() == 0
+    assert decontaminate.matches(docs(texts), bench.limit(0)).count() == 0
+
+
+def test_longest_common_subsequence():
+    rng = random.Random(1)
+    for _ in range(200):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(1, 90))] for _ in range(2))
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+        assert decontaminate.lcs(a, b) == table[-1, -1]
+
+
+# ---- HTML
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (None, ""), ("", ""), ("<p>", ""), ("plain &amp; simple", "plain & simple"),
+        ("<p>a<p>b<br>c", "a\n\nb\nc"),
+        ("<title>t</title><style>p{}</style><body>x<script>'<p>y'</script>", "x"),
+        ("<ul><li>a<ul><li>b</ul><li>c</ul>", "- a\n  - b\n- c"),
+        ("<ol start=3><li>a<li>b</ol>", "3. a\n4. b"),
+        ("<table><tr><th>Name<th>N<tr><td>long one<td>1</table>", "Name      N\nlong one  1"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"),
+        ("<div hidden>no</div><p style='display:none'>no</p><span>yes</span>", "yes"),
+        ("<pre>\n a\n  b</pre>", " a\n  b"),
+        ("a<!-- b", "a"), ("x < y", "x < y"), ("<div>" * 5000 + "deep", "deep"),
+        ("<table><tr><td>" * 300 + "t", "t"),
+    ],
+)
+def test_page_text(page, text):
+    assert html_text.page_text(page) == text
+
+
+def test_extract_keeps_rows(spark):
+    rows = spark.createDataFrame([(1, "<b>x</b>", "old"), (2, None, "old")], "page_id int, html string, text string")
+    assert {r["page_id"]: r["text"] for r in html_text.extract(rows).collect()} == {1: "x", 2: ""}
+
+
+# ---- toxicity
+
+def test_toxicity_learns_and_survives_odd_rows(spark, docs):
+    rng = random.Random(2)
+    texts, labels = [], []
+    for i in range(600):
+        w, bad = words(rng, rng.randrange(5, 60), 200), i % 4 == 0
+        if bad:
+            for _ in range(4):
+                w.insert(rng.randrange(len(w)), rng.choice(["vile", "foul"]))
+        texts.append(" ".join(w))
+        labels.append((i + 1, int(bad)))
+    texts += [None, "", "vile foul vile foul"]
+    table = spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id bigint, toxic int")
+    model = toxicity.train(docs(texts), table)
+    got = {r["doc_id"]: r["score"] for r in model.score(docs(texts)).collect()}
+    right = sum((got[i] >= 0.5) == bool(y) for i, y in labels)
+    assert right > 0.97 * len(labels) and got[603] > 0.5
+    assert all(0 <= s <= 1 for s in got.values()) and got[601] == got[602]
+    nothing = toxicity.train(docs(texts), table.limit(0))
+    assert {r["score"] for r in nothing.score(docs(texts[:3])).collect()} == {0.0}
+    assert model.score(docs([])).count() == 0
+
+
+# ---- secrets
+
+def base_spans(text):
+    out = []
+    assign = re.compile(secrets.ASSIGN)
+    for m in assign.finditer(text):
+        if len(m[1]) >= 12:
+            out.append((m.start(), 0, m.end(), "assign"))
+    for m in re.finditer(r"AKIA[A-Z0-9]+", text):
+        if len(m[0]) >= 18:
+            out.append((m.start(), 1, m.end(), "access"))
+    for m in re.finditer(r"[0-9a-f]+", text):
+        if len(m[0]) >= 16:
+            out.append((m.start(), 2, m.end(), "hex"))
+    return [f"{k}:{a}:{b}" for a, _, b, k in sorted(out)]
+
+
+def test_secrets_against_regular_expressions(spark, docs):
+    rng = random.Random(4)
+    bits = ["password", "Token", "api_key", "APIKEY", "=", ": ", '"', "'", " ", "AKIA", "ABCDEFGH01234567", "0123456789abcdef", "deadbeef", "é", "😀", "\n", "x", "secret", "￿"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(0, 25))) for _ in range(300)]
+    texts += [None, "", "token: secret: abcdefghijklmnop", "0123456789abcdef" * 3000]
+    key = "q7Zr9KpX2vLm4TnB8sWdY3"
+    texts.append(f"use {key} here and some_ordinary_identifier_name there")
+    rows = docs(texts)
+    got = {r["doc_id"]: r for r in secrets.scan(rows, [0.0] * 128**2, threshold=1.0).collect()}
+    for i, t in enumerate(texts, 1):
+        assert got[i]["base_spans"] == base_spans(t or ""), t
+    learned = spark.createDataFrame(
+        [("".join(rng.choice("abcdefXYZKQW0123456789") for _ in range(30)), 1) for _ in range(200)]
+        + [("_".join(rng.choice(["some", "name", "value", "order", "list"]) for _ in range(5)), 0) for _ in range(200)],
+        "value string, random int",
+    )
+    found = secrets.scan(docs([f"a {learned.first()['value']} b", "some_value_name_order_list_value"]), secrets.train(learned)).orderBy("doc_id").collect()
+    assert found[0]["spans"] == ["random:2:32"] and found[1]["spans"] == []
+    assert secrets.train(secrets.samples(docs(["", None]).select("text"))) == [0.0] * 128**2
+
+
+# ---- queries with SQL
+
+def test_line_dedup_query_equals_sql(spark, sf_dir):
+    from gripelens.llm.registry import ORACLES, QUERIES
+
+    for name in ORACLES:
+        found = difference(spark_table(QUERIES[name](spark, sf_dir)), sql_table(connect(sf_dir), ORACLES[name]))
+        assert not found, (name, found)
