@@ -1 +1 @@
-"""Column expressions; all run inside whole-stage codegen, none uses Python workers."""
+"""Column expressions; all run in the JVM (array lambdas outside generated code), none uses Python workers."""

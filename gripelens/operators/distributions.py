@@ -106,7 +106,7 @@ def group_quantiles(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     found = (
-        lookup_join(counts, per_bucket, [*groups, "_bucket"], spread_by="x")
+        lookup_join(counts, materialise(per_bucket, "wanted-ranks"), [*groups, "_bucket"], spread_by="x")
         .withColumn("_upto", F.sum("n").over(within))
         .select(*groups, "n_rows", "x", "n", "_upto", F.inline("_ranks"))
         .where((F.col("_upto") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("_upto")))
@@ -137,6 +137,7 @@ def winsorised_counts(
     bounds = group_quantiles(counts, groups, (low, MEDIAN, high)).select(
         *groups, "n_rows", F.col("q0").alias("lower"), F.col("q1").alias("median"), F.col("q2").alias("upper")
     )
+    bounds = materialise(bounds, "bounds")  # one row per group, measured and joined
     return lookup_join(counts, bounds, groups, spread_by="x").withColumn(
         "clipped", F.greatest(F.col("lower"), F.least(F.col("upper"), F.col("x")))
     )

@@ -54,7 +54,8 @@ def _csv_reader(spark: SparkSession):
 
 
 def _headers(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every CSV file, read from first blocks only."""
+    """(file, header): the first line of every CSV file. Lines are scanned once, and those of
+    later blocks are dropped in the scan stage."""
     lines = (
         spark.read.option("pathGlobFilter", "*.csv")
         .text(path)
@@ -80,7 +81,7 @@ def read_csv_folder(
 
     Files may lack columns or order them differently: a column of ``schema`` that a file
     does not have is null, one that is not in ``schema`` is left out. Finding the layouts
-    reads the first block of each file; ``same_layout`` skips that and takes ``schema``
+    takes one scan of the lines; ``same_layout`` skips that and takes ``schema``
     in file order. Texts may span lines, so a file is read by one task: snapshot large
     files to parquet first.
     """

@@ -89,3 +89,17 @@ def test_shared_folder_comes_from_the_session(spark):
     with pytest.raises(RuntimeError):
         runtime.shared_folder(Session("yarn", None))
     assert runtime.fresh_path(spark, "x") != runtime.fresh_path(spark, "x")
+
+
+def test_intermediate_data_is_accounted_for_and_released(spark, tmp_path):
+    from gripelens import runtime
+
+    before = set(runtime.made_paths())
+    table = runtime.materialise(spark.range(5).toDF("x"), "probe")
+    mine = [p for p in runtime.made_paths() if p not in before]
+    assert table.count() == 5 and len(mine) == 1
+    runtime.release(spark, mine)
+    assert set(runtime.made_paths()) == before
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(mine[0])
+    assert not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
