@@ -288,7 +288,11 @@ UNION ALL SELECT review_id, NULL, NULL, role, label FROM chats""",
     "features_roundtrip": _with(DOCS, LEXICON, _text("docs"))
     + f"SELECT review_id, platform, {_TEXT_OUT} FROM docs JOIN feat USING (review_id)",
     "scan_coefs": _with(*_WITH_COEFS) + "SELECT platform, feature, coef FROM coefs",
-    # sampling
+    "coef_files": _with(*_WITH_COEFS)
+    + f"SELECT platform, feature, coef FROM coefs WHERE platform IN ({', '.join(repr(s) for s in SOURCES[:3])})",
+    "coef_order": _with(*_WITH_COEFS, f"one AS (SELECT feature, coef FROM coefs WHERE platform = '{SOURCES[0]}')")
+    + """SELECT 'lowest' AS place, * FROM (SELECT * FROM one ORDER BY coef, feature LIMIT 3)
+UNION ALL SELECT 'largest', * FROM (SELECT * FROM one ORDER BY abs(coef) DESC, feature LIMIT 3)""",
     # data sets from raw sources
     "create_amazon": _with(
         DOCS,
@@ -299,6 +303,7 @@ UNION ALL SELECT review_id, NULL, NULL, role, label FROM chats""",
     + f"""SELECT rating, text, verified_purchase, content FROM ({_ranked('keyed', 'content', 42)}) WHERE rn <= 60""",
     "create_yelp": _with(DOCS, _contents("docs", "rating", "text"))
     + f"SELECT rating, text, content FROM ({_ranked('keyed', 'content', 33)}) WHERE rn <= 80",
+    # sampling
     "sample_bounded": _with(DOCS, "head AS (SELECT * FROM docs WHERE review_id < 500)")
     + f"SELECT review_id, platform, rating FROM ({_ranked('head', 'review_id', 42)}) WHERE rn <= 100",
     "sample_uniform": f"SELECT event_id, event_type, round(value, 6) AS value FROM ({_ranked('events', 'event_id', 33)}) WHERE rn <= 400",

@@ -229,6 +229,26 @@ def scan_coefs(spark, sf):
     return rounded(tables.read_coefs(spark, paths, missing="skip"))
 
 
+@query
+def coef_files(spark, sf):
+    """The coefficient sink: one file per platform, read back."""
+    found = correlation_coefs(spark, sf)
+    stored = materialise(found.where(F.col("platform").isin(*SOURCES[:3])), "coefs")
+    paths = {s: fresh_path(spark, f"coefs-{s}") for s in SOURCES[:3]}
+    for platform, path in paths.items():
+        tables.write_coefs(stored.where(F.col("platform") == platform).select("feature", "coef"), path)
+    return rounded(tables.read_coefs(spark, paths, missing="error"))
+
+
+@query
+def coef_order(spark, sf):
+    """The lowest coefficients of a platform, and those of the largest size."""
+    one = materialise(correlation_coefs(spark, sf).where(F.col("platform") == SOURCES[0]), "coefs")
+    lowest = coefs.sort_by_coef(one).limit(3).withColumn("place", F.lit("lowest"))
+    largest = coefs.rank_by_importance(one).limit(3).withColumn("place", F.lit("largest"))
+    return rounded(lowest.unionByName(largest).select("place", "feature", "coef"))
+
+
 # ---- sampling ----------------------------------------------------------------------
 
 

@@ -55,7 +55,7 @@ def test_density_is_a_kernel_estimate_over_bins(table, samples):
     for r in d.violin_density(table, ["g"], "v", bins=20).collect():
         got.setdefault(r.g, {})[r.bin] = r
     for g in ("hot", "counts"):
-        xs = np.round(samples[g], 6)
+        xs = samples[g]
         low, high = np.quantile(xs, 0.01), np.quantile(xs, 0.99)
         xs = np.clip(xs, low, high)
         width = (high - low) / 20

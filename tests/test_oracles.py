@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from gripelens.checks.oracles import ORACLES
+from gripelens.checks.registry import QUERIES
 from tests.compare import connect, difference, spark_table, sql_table
 
 ROWS_ONLY = {"sentence_stats_bi", "coef_table", "predictions", "tree_importance", "pooled_coefs"}
@@ -14,16 +16,16 @@ def duck(sf_dir):
 
 
 def test_every_query_is_accounted_for():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, duck):
-    got = spark_table(entry.queries()[name](spark, sf_dir))
+    got = spark_table(QUERIES[name](spark, sf_dir))
     assert got[1], "no rows"
-    if name in entry.oracle_sql():
-        assert difference(got, sql_table(duck, entry.oracle_sql()[name])) == ""
+    if name in ORACLES:
+        assert difference(got, sql_table(duck, ORACLES[name])) == ""
 
 
 def test_entry(spark):
