@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from gripelens.runtime import materialise
 
 TREE_ROWS = 16_384
-PAGE = 256
-FAN_OUT = 12
+PAGE = 1024
+FAN_OUT = 32
 BLOCK = 4_096
 
 _PAGES = (
@@ -88,33 +88,43 @@ class _Loader:
         return int(np.linalg.norm(self.points[rows] - centre, axis=1).argmin())
 
     def _parts(self, rows: np.ndarray) -> list[np.ndarray]:
-        """Rows by their nearest of FAN_OUT pivots that lie far from each other."""
+        """Rows by their nearest pivot, of up to FAN_OUT that lie far from each other."""
+        count = min(FAN_OUT, -(-2 * len(rows) // PAGE))
         points = self.points[rows]
         far = np.full(len(rows), np.inf)
         best = np.zeros(len(rows), np.int64)
         chosen = 0
-        for k in range(FAN_OUT):
+        for k in range(count):
             distance = np.linalg.norm(points - points[chosen], axis=1)
             best[distance < far] = k
             far = np.minimum(far, distance)
             chosen = int(far.argmax())
             if far[chosen] == 0:
                 break
-        parts = [rows[best == k] for k in range(FAN_OUT)]
+        parts = [rows[best == k] for k in range(count)]
         parts = [p for p in parts if len(p)]
         if len(parts) < 2 or max(map(len, parts)) > 0.9 * len(rows):
-            return np.array_split(rows, -(-len(rows) // PAGE) if len(rows) <= PAGE * FAN_OUT else FAN_OUT)
+            return np.array_split(rows, min(FAN_OUT, -(-len(rows) // PAGE)))
         return parts
 
 
 class _Tree:
+    """Pages by number: (radius, members, gaps, vectors of a leaf or pivots of the pages below)."""
+
     def __init__(self, pages: pd.DataFrame):
         self.top = float(pages["top"].iloc[0])
+        radius = dict(zip(pages["page"], pages["radius"]))
+        pivots = {n: np.frombuffer(p) for n, p in zip(pages["page"], pages["pivot"])}
+        self.first, self.reach = pivots[0], radius[0]
         self.pages = {}
         for p in pages.itertuples(index=False):
-            members = np.frombuffer(p.members, np.int64)
-            vectors = np.frombuffer(p.vectors, np.int64).reshape(len(members), -1).astype(np.float64) if p.leaf else None
-            self.pages[p.page] = (p.leaf, p.radius, np.frombuffer(p.pivot), members, np.frombuffer(p.gaps), vectors)
+            members, gaps = np.frombuffer(p.members, np.int64), np.frombuffer(p.gaps)
+            if p.leaf:
+                below = np.frombuffer(p.vectors, np.int64).reshape(len(members), -1).astype(np.float64)
+                self.pages[p.page] = (True, members, gaps, below, None)
+            else:
+                below = np.array([pivots[n] for n in members.tolist()])
+                self.pages[p.page] = (False, members, gaps, below, np.array([radius[n] for n in members.tolist()]))
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the k best by score, then smaller id."""
@@ -122,39 +132,47 @@ class _Tree:
         place = np.append(query, 0.0)
         margin = 1e-7 * (1.0 + square + self.top)
         ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        limit = np.inf  # squared distance of the k-th best so far
-
-        def gap(page: int) -> float:
-            return float(np.sqrt(((self.pages[page][2] - place) ** 2).sum()))
-
-        first = gap(0)
-        heap = [(max(0.0, first - self.pages[0][1]), 0, first)]
+        reach, worst = np.inf, -np.inf  # distance and score of the k-th best so far
+        here = float(np.linalg.norm(self.first - place))
+        heap = [(max(0.0, here - self.reach), 0, here)]
         while heap:
             least, number, here = heapq.heappop(heap)
-            if least * least > limit + margin:
+            if least > reach:
                 break
-            leaf, _, _, members, gaps, vectors = self.pages[number]
-            reach = np.sqrt(limit + margin)
-            if leaf:
-                near = np.flatnonzero(np.abs(here - gaps) <= reach)
-                near = near[members[near] != own]
-                if not len(near):
-                    continue
-                ids = np.concatenate([ids, members[near]])
-                scores = np.concatenate([scores, vectors[near] @ query])
-                if len(ids) > k:
-                    order = np.lexsort((ids, -scores))[:k]
-                    ids, scores = ids[order], scores[order]
-                if len(ids) == k:
-                    limit = square + self.top - 2 * scores.min()
+            leaf, members, gaps, below, radii = self.pages[number]
+            apart = np.abs(here - gaps)
+            if not leaf:
+                # The stored distance already rules a page out: its pivot is not looked at.
+                open_ = np.flatnonzero(apart - radii <= reach)
+                gap = np.sqrt(((below[open_] - place) ** 2).sum(1))
+                bound = gap - radii[open_]
+                for i in np.flatnonzero(bound <= reach).tolist():
+                    heapq.heappush(heap, (max(0.0, float(bound[i])), int(members[open_[i]]), float(gap[i])))
+                continue
+            near = apart <= reach
+            count = np.count_nonzero(near)
+            if not count:
+                continue
+            if 4 * count < len(members):
+                at = np.flatnonzero(near)
+                found = below[at] @ query
+                good = found >= worst
+                at, found = at[good], found[good]
+            else:
+                found = below @ query
+                at = np.flatnonzero(near & (found >= worst))
+                found = found[at]
+            if not len(at):
                 continue
-            for child, apart in zip(members.tolist(), gaps.tolist()):
-                radius = self.pages[child][1]
-                if abs(here - apart) - radius > reach:
-                    continue
-                distance = gap(child)
-                if distance - radius <= reach:
-                    heapq.heappush(heap, (max(0.0, distance - radius), child, distance))
+            names = members[at]
+            other = names != own
+            ids, scores = np.concatenate([ids, names[other]]), np.concatenate([scores, found[other]])
+            if len(ids) > k:
+                order = np.lexsort((ids, -scores))[:k]
+                ids, scores = ids[order], scores[order]
+            if len(ids) == k:
+                worst = scores.min()
+                reach = np.sqrt(max(square + self.top - 2 * worst, 0.0) + margin)
         order = np.lexsort((ids, -scores))
         return ids[order], scores[order]
 
