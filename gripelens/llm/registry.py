@@ -14,6 +14,7 @@ from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.token_counts import length_histogram, length_table
 from gripelens.llm.training_order import TrainingOrder
+from gripelens.runtime import materialise
 
 
 def vocabulary() -> str:
@@ -95,7 +96,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths of all documents, with the totals of every limit."""
     bpe = ByteBpe.load(vocabulary())
     docs = _table(spark, sf_dir, "documents").select("text")
-    return length_table(length_histogram(bpe.encode(docs, ids_col=None)))
+    histogram = length_histogram(bpe.encode(docs, ids_col=None))
+    return length_table(materialise(histogram, "lengths"))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
