@@ -8,8 +8,8 @@ that step.
 Added finds. Two character Markov models, of random strings and of ordinary identifiers,
 score every other long run of identifier characters: the mean log-likelihood ratio of its
 adjacent characters decides. Random strings are learned from the values of the base finds
-(numbers, hexadecimal runs and keys), identifiers from the long words of the same texts
-that hold no find. Both samples are bounded by SAMPLE_ROWS documents.
+(numbers, hexadecimal runs and keys), identifiers from the long words
+of the same documents. The sample is some SAMPLE_ROWS documents.
 
 Rows: a null text counts as empty; an empty text has no spans. Spans are
 ``kind:start:end`` in code points, end exclusive, ordered by start and then by kind as in
@@ -38,7 +38,7 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 RUN_MIN = 20
 # Mean log-likelihood ratio per pair of characters from which a run counts as random.
 THRESHOLD = 0.35
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 50_000
 
 # Noncharacters: no pattern matches them. A text that holds the first gets the second.
 _MARK, _STAND_IN = "￿", "￾"
@@ -115,27 +115,22 @@ def _pairs(value: Column) -> Column:
 
 
 def samples(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(value, random): labelled strings from at most ``rows`` documents that have a base
-    find, and as many that have none, the first in the order of a hash of the text."""
-    found = base_finds(df.select(F.col("text")))
-    hit = (F.size("_assign") + F.size("_access") + F.size("_hex")) > 0
+    """(value, random): labelled strings from about ``rows`` documents, chosen by a hash of
+    their columns; from all, if there are no more."""
+    share = min(1.0, rows / max(df.count(), 1))
+    chosen = df if share == 1.0 else df.where(F.xxhash64(*df.columns) < F.lit(int((share - 0.5) * 2**64)))
     value = F.concat(
         F.transform("_assign", lambda m: _assigned(m["value"])),
         F.transform("_access", lambda m: m["value"]),
         F.transform("_hex", lambda m: m["value"]),
     )
-    order = F.xxhash64("_text")
-    positive = (
-        found.where(hit).select(order.alias("k"), value.alias("v")).orderBy("k").limit(rows)
-        .select(F.explode("v").alias("value"), F.lit(1).alias("random"))
-    )
     words = F.regexp_extract_all(F.col("_text"), F.lit(r"[A-Za-z][A-Za-z_-]{7,}"), F.lit(0))
-    negative = (
-        df.select(F.col("text").alias("_text")).where(F.col("_text").isNotNull())
-        .select(F.xxhash64("_text").alias("k"), F.col("_text")).orderBy("k").limit(rows)
-        .select(F.explode(words).alias("value"), F.lit(0).alias("random"))
-    )
-    return positive.unionByName(negative)
+
+    def labelled(values: Column, random: int) -> Column:
+        return F.transform(values, lambda v: F.struct(v.alias("value"), F.lit(random).alias("random")))
+
+    both = F.concat(labelled(value, 1), labelled(words, 0))
+    return base_finds(chosen.select("text")).select(F.explode(both).alias("s")).select("s.*")
 
 
 def train(labelled: DataFrame) -> list[float]:
