@@ -29,48 +29,56 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gripelens.runtime import lookup_join, materialise
+from gripelens.runtime import lookup_join, made_paths, materialise, release
 
 BUCKETS = 1 << 18
-CROWD = 16
-BLANKS = r"\s+"
+CROWD = 128
+# Blanks inside a line besides the space.
+BLANKS = "\t\r\f\v"
 _CLASS = ["c1", "c2"]
 
 
+def _plain(text: Column) -> Column:
+    """Lower case, with spaces for all blanks but line breaks (most texts hold no others)."""
+    odd = F.lit(False)
+    for blank in BLANKS:
+        odd = odd | text.contains(blank)
+    lowered = F.lower(text)
+    return F.when(odd, F.translate(lowered, BLANKS, " " * len(BLANKS))).otherwise(lowered)
+
+
 def line_words(line: Column) -> Column:
     """Distinct lower-case words of a line."""
-    return F.filter(F.array_distinct(F.split(F.lower(line), BLANKS)), lambda w: w != "")
+    return F.array_remove(F.array_distinct(F.split(_plain(line), " ")), "")
 
 
 def _bucket(hashed: Column) -> Column:
-    return F.pmod(hashed, F.lit(BUCKETS))
+    return hashed.bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def word_counts(docs: DataFrame) -> Column:
     """A constant: one byte per hash bucket, four times the binary logarithm of its count."""
-    word = F.explode(F.split(F.lower(F.col("text")), BLANKS)).alias("w")
-    counts = docs.select(word).groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
-    found = counts.toPandas()  # at most BUCKETS rows
-    table = np.zeros(BUCKETS, np.uint8)
-    table[found["b"].to_numpy(np.int64)] = np.minimum(
-        1 + 4 * np.log2(found["n"].to_numpy(np.float64)), 127
-    ).astype(np.uint8)
-    return F.lit(bytearray(table.tobytes()))
+    word = F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")
+    counts = docs.select(word).groupBy(_bucket(F.xxhash64("w")).cast("int").alias("b")).agg(F.count("*").alias("n"))
+    level = F.least(1 + 4 * F.log2("n"), F.lit(127.0)).cast("int")
+    table = bytearray(BUCKETS)
+    for row in counts.select("b", level.alias("level")).collect():  # at most BUCKETS rows
+        table[row["b"]] = row["level"]
+    return F.lit(table)
 
 
-def _by_rarity(words: Column, counts: Column) -> Column:
-    """The words as numbers, rarest first: the count's byte, then 56 bits of the hash."""
+def _by_rarity(line: Column, counts: Column) -> Column:
+    """The distinct words as numbers, rarest first: the count's byte, then 56 bits of the hash."""
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
 
-    def key(w: Column) -> Column:
-        h = F.xxhash64(w)
+    def key(h: Column) -> Column:
         byte = F.ascii(F.substring(counts, (_bucket(h) + 1).cast("int"), F.lit(1)).cast("string"))
         return F.shiftleft(byte.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.array_sort(F.transform(words, key))
+    return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), key))
 
 
 def _ceil_share(n: Column, percent: int, of: int = 100) -> Column:
@@ -98,10 +106,9 @@ class LineDedup:
         )
         wide = F.when(n >= self._smallest(), n - _ceil_share(n, self.percent) + 1).otherwise(0)
         return (
-            docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-            .select("doc_id", "line", line_words(F.col("value")).alias("words"))
-            .where(F.size("words") > 0)
-            .select("doc_id", "line", _by_rarity(F.col("words"), counts).alias("keys"))
+            docs.select("doc_id", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line", "value"))
+            .where(F.ltrim("value") != "")
+            .select("doc_id", "line", _by_rarity(F.col("value"), counts).alias("keys"))
             .select(
                 "doc_id",
                 "line",
@@ -122,16 +129,19 @@ class LineDedup:
         )
 
     def _prefixes(self, classes: DataFrame, *more: str) -> DataFrame:
-        """One row per class and prefix word."""
-        return classes.where(F.size("prefix") > 0).select(
+        """One row per class and prefix word; ``place`` holds size and position in one number."""
+        rows = classes.where(F.size("prefix") > 0).select(
             *more, *_CLASS, "n", "bits", F.posexplode("prefix").alias("pos", "key")
         )
+        return rows.select(
+            *more, *_CLASS, "key", "bits", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("place")
+        )
 
     def _may_match(self, a: str, b: str) -> Column:
         """Length, positional and bitmap filter for two prefix rows with the same word."""
-        n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+        n, m = (F.shiftright(f"{side}.place", 32) for side in (a, b))
         needed = _ceil_share(n + m, self.percent, 100 + self.percent)
-        rest = F.least(n - F.col(f"{a}.pos"), m - F.col(f"{b}.pos"))
+        rest = F.least(*(size - F.col(f"{side}.place").bitwiseAND(F.lit(0xFFFFFFFF)) for size, side in ((n, a), (m, b))))
         apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
         return (
             (F.least(n, m) * 100 >= F.greatest(n, m) * self.percent)
@@ -142,6 +152,7 @@ class LineDedup:
 
     def _verified(self, pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
         """Classes (c1, c2) with a similar earlier class (d1, d2) among the candidate pairs."""
+        before = set(made_paths())
         one = pairs.select(*_CLASS, "d1", "d2").distinct()
         place = F.struct("doc_id", "line")
         here = classes.select(*_CLASS, place.alias("at"))
@@ -166,7 +177,11 @@ class LineDedup:
         second = first.join(sets.select(F.col("at").alias("before"), F.col("words").alias("y")), "before")
         shared = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - shared
-        return second.where(shared * 100 >= union * self.percent).select(*_CLASS).distinct()
+        similar = second.where(shared * 100 >= union * self.percent).select(*_CLASS).distinct()
+        spent = [p for p in made_paths() if p not in before]
+        found = materialise(similar, "line-similar")
+        release(docs.sparkSession, spent)
+        return found
 
     def similar(self, classes: DataFrame, docs: DataFrame) -> DataFrame:
         """Classes (c1, c2) that have a similar earlier class."""
@@ -179,19 +194,17 @@ class LineDedup:
             self._prefixes(classes, "doc_id", "line"), crowds, "key", spread_by="c1"
         )
         leaders = materialise(
-            within.groupBy("key").agg(F.min(F.struct("doc_id", "line", "c1", "c2", "n", "bits", "pos")).alias("l")).select("key", "l.*"),
+            within.groupBy("key").agg(F.min(F.struct("doc_id", "line", "c1", "c2", "bits", "place")).alias("l")).select("key", "l.*"),
             "line-leaders",
         )
         side = lookup_join(
-            within.select("key", F.struct("c1", "c2", "n", "bits", "pos").alias("p")),
-            leaders.select("key", F.struct("c1", "c2", "n", "bits", "pos").alias("q")),
+            within.select("key", F.struct("c1", "c2", "bits", "place").alias("p")),
+            leaders.select("key", F.struct("c1", "c2", "bits", "place").alias("q")),
             "key",
             spread_by="p",
         )
         both = [F.col("p.c1").alias("c1"), F.col("p.c2").alias("c2"), F.col("q.c1").alias("d1"), F.col("q.c2").alias("d2")]
-        settled = materialise(
-            self._verified(side.where(self._may_match("p", "q")).select(*both), classes, docs), "line-settled"
-        )
+        settled = self._verified(side.where(self._may_match("p", "q")).select(*both), classes, docs)
         open_ = prefixes.join(settled, _CLASS, "left_anti")
         met = open_.alias("p").join(
             prefixes.alias("q"), (F.col("p.key") == F.col("q.key")) & self._may_match("p", "q")
@@ -240,10 +253,11 @@ class LineDedup:
         keep = docs.drop(lines_col, removed_col)
         out = lookup_join(keep.withColumn("_removed_from", F.col("doc_id")), removed, "_removed_from", "left")
         parts = F.split(text_col, "\n")
+        breaks = F.octet_length(text_col) - F.octet_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))
         left = F.array_join(F.filter(parts, lambda part, i: ~F.array_contains("_removed", i)), "\n")
         text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(left)
         return out.select(
             *[text.alias(c) if c == text_col else F.col(c) for c in keep.columns],
-            F.coalesce(F.size(parts), F.lit(0)).alias(lines_col),
+            F.coalesce(breaks + 1, F.lit(0)).alias(lines_col),
             F.coalesce(F.size("_removed"), F.lit(0)).alias(removed_col),
         )
