@@ -3,13 +3,12 @@
 1. Words of the benchmark form the vocabulary; documents become sequences of its numbers
    (-1 for other words), written once. Words outside it cannot contribute to a match.
 2. Passages are windows of two half-windows of HALF words. Term weights are the count in
-   the passage times the squared inverse document frequency over all passages of the corpus.
+   the passage times the cubed inverse document frequency over all passages of the corpus.
 3. Randomised SVD, distributed: with A the passage-term matrix and a random test matrix W,
    one pass sums Y = A'(A W); the leading eigenvectors of A'A follow from Y and W'Y on
    the driver (a Nystrom approximation of vocabulary x rank numbers).
-4. Passages and benchmark items are compared by their cosine in that space, whose axes are
-   scaled alike. An item counts as a candidate from a share of the cosine that containing it
-   whole would give.
+4. Passages and benchmark items are compared by their cosine in that space. An item counts
+   as a candidate from a share of the cosine that containing it whole would give.
 5. A candidate is confirmed on the words themselves: the longest common subsequence of
    item and passage (with its surroundings) must hold LCS_SHARE of the item. For rewordings
    PARAPHRASE_SHARE will do if the answer, the item's last sentence, is there as well: all
@@ -42,7 +41,9 @@ HALF = 32
 RANK, SPARE = 128, 16
 ITEMS = 512
 MIN_WORDS = 8
-# Words of more than one in COMMON passages do not tell passages apart and weigh nothing.
+CHUNK_WORDS = 200_000  # words whose numbers a task turns into passages at a time
+# Words of more than one in COMMON passages do not tell passages apart and weigh nothing (in a
+# corpus of fewer than COMMON^2 passages: of more than the root of their number).
 COMMON, KEPT = 50, 8
 COSINE_SHARE = 0.6
 COVERAGE = 0.5
@@ -140,8 +141,12 @@ class _Halves:
         """Sum of ``rows[word]`` over each half-window."""
         out = np.zeros((self.count, rows.shape[1]), np.float32)
         if len(self.words):
-            at = np.flatnonzero(np.diff(self.half, prepend=-1))
-            out[self.half[at]] = np.add.reduceat(rows.take(self.words, axis=0), at, axis=0)
+            # The k-th words of all half-windows are added together: no half-window twice at once.
+            begins = np.flatnonzero(np.diff(self.half, prepend=-1))
+            sizes = np.diff(np.append(begins, len(self.half)))
+            for k in range(int(sizes.max())):
+                at = begins[sizes > k] + k
+                out[self.half[at]] += rows.take(self.words[at], axis=0)
         return out
 
     def windows(self, halves: np.ndarray) -> np.ndarray:
@@ -156,7 +161,7 @@ def _parts(ids: DataFrame, measure, size: int, useful: np.ndarray | None = None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", CHUNK_WORDS):
             found = measure(_Halves(batch.column("ids"), useful))
             total = found if total is None else total + found
         if total is not None:
@@ -192,20 +197,20 @@ def frequencies(ids: DataFrame, words: int) -> np.ndarray:
 
 
 def word_weights(holding: np.ndarray, passages: float, items: list[np.ndarray]) -> np.ndarray:
-    """Squared inverse document frequency; nothing for common words, except that every item
+    """Cubed inverse document frequency; nothing for common words, except that every item
     keeps its KEPT rarest, however often it was copied into the corpus."""
     idf = np.maximum(np.log((passages + 1) / (holding + 1)), 0)
-    weights = np.where(idf >= np.log(COMMON), idf, 0) ** 2
+    common = min(np.log(COMMON), np.log(passages + 1) / 2)
+    weights = np.where(idf >= common, idf, 0) ** 3
     for words in items:
         own = np.unique(words)
         rarest = own[np.argsort(-idf[own], kind="stable")[:KEPT]]
-        weights[rarest] = np.maximum(weights[rarest], np.log(COMMON) ** 2)
+        weights[rarest] = np.maximum(weights[rarest], max(common, 0.1) ** 3)
     return weights
 
 
 def latent_space(ids: DataFrame, weights: np.ndarray, own: np.ndarray, seed: int = 7) -> np.ndarray:
-    """(words x rank) leading right singular vectors of the passage-term matrix, each divided
-    by its singular value.
+    """(words x rank) leading right singular vectors of the passage-term matrix.
 
     ``own``: the items' rows, which belong to the matrix as well.
     """
@@ -218,11 +223,8 @@ def latent_space(ids: DataFrame, weights: np.ndarray, own: np.ndarray, seed: int
     def measure(h: _Halves) -> np.ndarray:
         y = np.zeros((words, rank))
         if len(h.words):
-            u = h.sums(weighted)
-            order = np.argsort(h.words, kind="stable")
-            term = h.words[order]
-            at = np.flatnonzero(np.diff(term, prepend=-1))
-            y[term[at]] = np.add.reduceat(u.take(h.half[order], axis=0), at, axis=0)
+            for k, column in enumerate(np.ascontiguousarray(h.sums(weighted).T)):
+                y[:, k] = np.bincount(h.words, weights=column.take(h.half), minlength=words)
         return (y * weights[:, None]).ravel()
 
     y = _total(_parts(ids, measure, 1 << 17, weights > 0))
@@ -233,7 +235,7 @@ def latent_space(ids: DataFrame, weights: np.ndarray, own: np.ndarray, seed: int
     root = y @ (vector[:, keep] / np.sqrt(value[keep]))  # A'A is about root root'
     left, scale, _ = np.linalg.svd(root, full_matrices=False)
     rank = min(RANK, int((scale > scale[:1].sum() * 1e-6).sum()))
-    return left[:, :rank] / scale[:rank]
+    return left[:, :rank]
 
 
 def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray) -> DataFrame:
@@ -247,17 +249,19 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray)
     lengths = np.array([len(w) for w in items.words])
     least = (COSINE_SHARE * np.sqrt(np.minimum(lengths / (2 * HALF), 1.0))).astype(np.float32)
     distinct = [np.unique(w) for w in items.words]
-    total = np.array([weights[d].sum() for d in distinct])
+    own_weights = [weights[d] for d in distinct]
+    total = np.array([w.sum() for w in own_weights])
     item_ids, item_words, answers = items.ids, items.words, items.answers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "ids"):
+        for batch in slices(batches, "ids", CHUNK_WORDS):
             h = _Halves(batch.column("ids"), weights > 0)
             z = h.windows(h.sums(rows))
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
             window, item = np.nonzero(z @ targets.T >= least)
             doc = np.searchsorted(h.first, window, side="right") - 1
             best: dict[tuple[int, int], tuple] = {}
+            present = np.zeros(len(weights) + 1, bool)  # the last place is for unknown words
             for w, k, d in zip(window.tolist(), item.tolist(), doc.tolist()):
                 size = int(h.sizes[d])
                 begin = (w - int(h.first[d])) * HALF
@@ -265,8 +269,10 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray)
                 a, b = max(begin - extra, 0), min(begin + 2 * HALF + extra, size)
                 base = int(h.starts[d])
                 there = h.flat[base + a : base + b]
-                shared = np.isin(distinct[k], there)
-                if weights[distinct[k][shared]].sum() < COVERAGE * total[k]:
+                present[there] = True
+                covered = own_weights[k][present[distinct[k]]].sum()
+                present[there] = False
+                if covered < COVERAGE * total[k]:
                     continue
                 length = lcs(item_words[k], there)
                 share = length / len(item_words[k])
