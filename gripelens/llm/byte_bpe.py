@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from gripelens.llm.pretokens import boundaries
 
 # Characters laid end to end at a time, and merged pieces a worker remembers.
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 500_000
 CACHED_PIECES = 250_000
 _LONG_PIECE = 256
 _NEVER = 1 << 62
@@ -289,8 +289,10 @@ class ByteBpe:
         return df.mapInArrow(run, schema)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches, so few at a time that ``column`` stays near CHUNK_CHARS values."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = CHUNK_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, so few at a time that ``column`` stays near ``most`` values."""
     for batch in batches:
         values = batch.column(column)
         sizes = pc.list_value_length(values) if pa.types.is_list(values.type) else pc.binary_length(values)
@@ -298,7 +300,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
         start = 0
         while start < batch.num_rows:
             base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK_CHARS, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 
