@@ -13,7 +13,10 @@
    groups: each member also meets the region's oldest class. And after each round,
    components shrink to their best-linked class and crowded regions are ordered anew,
    until a round finds no new link.
-4. Candidates whose size ratio or estimated similarity (all minimum hashes, seven standard
+4. Coverage. The forest only makes components early and cheaply; what it leaves apart goes
+   through a prefix-filter join on the full sets (see ``prefix_join``), which compares all
+   classes that share one of their rarest shingles and are not yet in one component.
+5. Candidates whose size ratio or estimated similarity (minimum hashes, seven standard
    deviations below the threshold) rules them out are dropped; all others are confirmed on
    the full sets.
 
@@ -29,6 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,6 +44,11 @@ from gripelens.runtime import lookup_join, materialise
 TREES, DEPTH = 6, 8
 NEIGHBOURS = 3
 _COUNT = TREES * DEPTH
+# The prefix join: hash buckets whose counts order the shingles, bytes of a row's sketch, classes
+# that share a shingle from which they are dealt out in blocks, and classes per block.
+BUCKETS = 1 << 18
+SKETCH = 24
+CROWD, BLOCK = 1024, 512
 _NODE = "fp binary, id bigint, n bigint, sig binary"
 _ROW = "tree int, key binary, fp binary, id bigint, n bigint, sketch binary"
 
@@ -76,10 +85,10 @@ class NearDedup:
             .agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("sig").alias("sig"), F.count("*").alias("members"))
         )
 
-    def _enough(self) -> int:
-        """Agreeing minimum hashes below which a pair cannot reach the threshold."""
+    def _enough(self, count: int = _COUNT) -> int:
+        """Agreeing minimum hashes of ``count`` below which a pair cannot reach the threshold."""
         p = self.percent / 100
-        return int(max(1, np.floor(_COUNT * p - 7 * np.sqrt(_COUNT * p * (1 - p)))))
+        return int(max(1, np.floor(count * p - 7 * np.sqrt(count * p * (1 - p)))))
 
     def _sizes_fit(self, a: Column, b: Column) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
@@ -170,6 +179,131 @@ class NearDedup:
             F.col("fp").alias("a"), F.col("oldest.fp").alias("b"), (near & (agree >= self._enough())).alias("near")
         )
 
+    def shingle_levels(self, docs: DataFrame) -> np.ndarray:
+        """One byte per hash bucket, four times the binary logarithm of its count in an eighth
+        of the documents. It only orders the prefixes: the join is exact for any order."""
+        width = self.width
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            counts = np.zeros(BUCKETS, np.int64)
+            for batch in slices(batches, "text"):
+                flat, _ = shingle_sets([t or "" for t in batch.column("text").to_pylist()], width)
+                counts += np.bincount((flat & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            at = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["b", "n"])
+
+        some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0).select("text")
+        levels = np.zeros(BUCKETS, np.uint8)
+        counts = some.mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
+        for row in counts.collect():  # at most BUCKETS rows
+            levels[row["b"]] = min(1 + 4 * np.log2(row["n"]), 127)
+        return levels
+
+    def prefixes(self, docs: DataFrame) -> DataFrame:
+        """(fp, keys): the ``n - ceil(t n) + 1`` rarest shingles of every distinct set."""
+        levels, width, percent = self.shingle_levels(docs), self.width, self.percent
+        smallest = -(-percent // (100 - percent))  # smaller sets are similar to equal ones only
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, "text"):
+                found = [t or "" for t in batch.column("text").to_pylist()]
+                flat, sizes = shingle_sets(found, width)
+                prints = signatures(found, width, 1).prints
+                level = levels[(flat & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.int64)
+                keys = level << 56 | (flat >> np.uint64(8)).astype(np.int64)
+                ends = np.cumsum(sizes)
+                taken, lengths, names = [], [0], []
+                for k, n in enumerate(sizes.tolist()):
+                    if n >= smallest:
+                        wide = n - -(-n * percent // 100) + 1
+                        taken.append(np.sort(np.partition(keys[ends[k] - n : ends[k]], wide - 1)[:wide]))
+                        lengths.append(wide)
+                        names.append(prints[k])
+                values = np.concatenate(taken) if taken else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths).astype(np.int32)), pa.array(values))
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), lists], ["fp", "keys"])
+
+        return docs.select("text").mapInArrow(run, "fp binary, keys array<bigint>").dropDuplicates(["fp"])
+
+    def prefix_join(self, nodes: DataFrame, roots: DataFrame, docs: DataFrame) -> DataFrame:
+        """Candidate pairs (a, b), a < b, of classes in different components.
+
+        Similar sets share one of their first ``n - ceil(t n) + 1`` shingles in any fixed
+        order. Classes meet on those, in tasks that apply size, positional and sketch filter.
+        A shingle of CROWD or more classes is nothing to do if one component holds them all;
+        else the members of its largest component meet the others, and the others each other,
+        in blocks that spread over tasks.
+        """
+        sketch = F.concat(*[F.substring("sig", 4 * k + 4, 1) for k in range(SKETCH)])
+        about = nodes.select("fp", "n", sketch.alias("sketch")).join(
+            roots.select(F.col("node").alias("fp"), "root"), "fp", "left"
+        )
+        rows = materialise(self.prefixes(docs).join(about, "fp"), "prefixes")
+        each = rows.select(F.posexplode("keys").alias("pos", "key"), "fp", "n", "root", "sketch")
+        hot = materialise(
+            rows.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("size"))
+            .where(F.col("size") >= CROWD), "prefix-crowds",
+        )
+        root = F.coalesce("root", "fp")
+        shares = (
+            lookup_join(rows.select(F.explode("keys").alias("key"), root.alias("main")), hot, "key", spread_by="main")
+            .groupBy("key", "main", "size").agg(F.count("*").alias("own"))
+        )
+        blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+        split = materialise(
+            shares.groupBy("key", "size").agg(F.max(F.struct("own", "main")).alias("m"))
+            .select("key", "m.main", blocks(F.col("m.own")).alias("inner"), blocks(F.col("size") - F.col("m.own")).alias("outer")),
+            "prefix-split",
+        )
+        known = lookup_join(each, split, "key", "left", spread_by="fp")
+        spread = F.xxhash64("fp")
+        inner, outer = F.pmod(spread, F.col("inner")).cast("int"), F.pmod(spread, F.col("outer")).cast("int")
+        upto = lambda n: F.sequence(F.lit(0), n - 1)
+
+        def meeting(kind: int, x: Column, y: Column, side: Column | int, cross: Column | bool) -> Column:
+            side, cross = (v if isinstance(v, Column) else F.lit(v) for v in (side, cross))
+            return F.struct(
+                F.lit(kind).alias("kind"), x.cast("int").alias("x"), y.cast("int").alias("y"),
+                side.cast("int").alias("side"), cross.alias("cross"),
+            )
+
+        own = F.transform(upto(F.col("outer")), lambda j: meeting(1, inner, j, 0, True))
+        theirs = F.concat(
+            F.transform(upto(F.col("inner")), lambda j: meeting(1, j, outer, 1, True)),
+            F.transform(upto(F.col("outer")), lambda j: meeting(2, F.least(j, outer), F.greatest(j, outer), outer, j != outer)),
+        )
+        alone = F.array(meeting(0, F.lit(0), F.lit(0), 0, False))
+        tasks = F.when(F.col("main").isNull(), alone).when(root == F.col("main"), own).otherwise(theirs)
+        dealt = (
+            known.where(F.col("main").isNull() | (F.col("outer") > 0))
+            .select("key", "pos", "fp", "n", "root", "sketch", F.explode(tasks).alias("t"))
+            .select("key", "t.*", "pos", "fp", "n", "root", "sketch")
+        )
+        place = ["key", "kind", "x", "y"]
+        enough, percent = self._enough(SKETCH), self.percent
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tail: pa.Table | None = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                table = pa.Table.from_batches([batch])
+                if tail is not None:
+                    table = pa.concat_tables([tail, table])
+                groups = np.stack([_flat(table, c).to_numpy() for c in place])
+                last = table.num_rows - 1
+                while last and (groups[:, last - 1] == groups[:, -1]).all():
+                    last -= 1
+                if last:
+                    yield _meetings(table.slice(0, last), groups[:, :last], enough, percent)
+                tail = table.slice(last)
+            if tail is not None:
+                groups = np.stack([_flat(tail, c).to_numpy() for c in place])
+                yield _meetings(tail, groups, enough, percent)
+
+        met = dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a binary, b binary")
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
     def confirm(self, pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
         """The pairs that reach the threshold on full sets, which are made from the texts of
         the classes in question only."""
@@ -200,6 +334,20 @@ class NearDedup:
 
     def links(self, nodes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(confirmed links between classes, components of the linked classes)."""
+        links, roots, tested = self.forest_links(nodes, docs)
+        if self.percent >= 100:
+            return links, roots
+        pairs = materialise(self.prefix_join(nodes, roots, docs), "prefix-pairs")
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        new = materialise(self.confirm(materialise(pairs, "pairs"), nodes, docs), "confirmed")
+        if new.isEmpty():
+            return links, roots
+        links = links.unionByName(new)
+        return links, components(links)
+
+    def forest_links(self, nodes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+        """(confirmed links of the forest, their components, pairs tested)."""
         active, links, roots, tested = nodes, None, None, None
         while True:
             rows = materialise(self.forest(active), "forest")
@@ -211,7 +359,7 @@ class NearDedup:
             pairs = materialise(pairs, "pairs")
             new = materialise(self.confirm(pairs, nodes, docs), "confirmed")
             if new.isEmpty():
-                return (links, roots) if links is not None else (new, components(new))
+                return (links, roots, tested) if links is not None else (new, components(new), pairs)
             links = new if links is None else links.unionByName(new)
             tested = pairs if tested is None else tested.unionByName(pairs)
             roots = components(links)
@@ -298,3 +446,36 @@ def _close_pairs(table: pa.Table, fresh: int, enough: int, percent: int) -> pa.R
         ],
         ["a", "b", "tree", "key", "n"],
     )
+
+
+def _meetings(table: pa.Table, groups: np.ndarray, enough: int, percent: int) -> pa.RecordBatch:
+    """Pairs of a group of rows (equal columns of ``groups``) that pass all filters."""
+    n = table.num_rows
+    prints = _flat(table, "fp")
+    sizes, pos, side = (_flat(table, c).to_numpy().astype(np.int64) for c in ("n", "pos", "side"))
+    cross = _flat(table, "cross").to_numpy(zero_copy_only=False)
+    roots = pc.coalesce(_flat(table, "root"), prints).dictionary_encode().indices.to_numpy()
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n, SKETCH)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    new = np.append(True, (groups[:, 1:] != groups[:, :-1]).any(0))
+    group = np.cumsum(new)
+    at, k = np.arange(n), 1
+    while True:
+        at = at[at < n - k]
+        at = at[group[at] == group[at + k]]
+        if not len(at):
+            break
+        i, j = at, at + k
+        ok = (roots[i] != roots[j]) & (~cross[i] | (side[i] != side[j]))
+        i, j = i[ok], j[ok]
+        x, y = sizes[i], sizes[j]
+        needed = -(-(x + y) * percent // (100 + percent))
+        ok = np.minimum(x, y) * 100 >= np.maximum(x, y) * percent
+        ok &= np.minimum(x - pos[i], y - pos[j]) >= needed
+        i, j = i[ok], j[ok]
+        ok = (sketch[i] == sketch[j]).sum(1) >= enough
+        left.append(i[ok])
+        right.append(j[ok])
+        k += 1
+    a, b = np.concatenate(left), np.concatenate(right)
+    return pa.RecordBatch.from_arrays([prints.take(pa.array(a)), prints.take(pa.array(b))], ["a", "b"])

@@ -111,6 +111,21 @@ def test_near_dedup_against_brute_force(spark, docs):
         assert [r["kept"] for r in got] == [c == i + 1 for i, c in enumerate(want)]
 
 
+def test_near_dedup_pairs_below_one_template(spark, docs):
+    rng = random.Random(11)
+    template = words(rng, 87, 10**6)  # 85 shingles of three words; all other pairs stay below the threshold
+    texts = []
+    for k in range(300):
+        own = [f"o{k}.{i}" for i in range(15)]
+        texts.append(" ".join(template + own))
+        if k < 60:
+            texts.append(" ".join(template + own[:7] + [f"p{k}.{i}" for i in range(8)]))
+    want, _ = near_components(texts, 3, 85)
+    assert sum(c != i + 1 for i, c in enumerate(want)) == 60
+    got = NearDedup(3, 85).run(docs(texts).select("doc_id", "text")).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == want
+
+
 def test_near_dedup_odd_rows(spark, docs):
     run = NearDedup(3, 85).run
     assert run(docs([])).count() == 0
