@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from gripelens.llm import decontaminate, html_text, secrets, toxicity
+from gripelens.llm import decontaminate, html_text, near_dedup, secrets, toxicity
 from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.near_dedup import NearDedup
 from tests.compare import connect, difference, spark_table, sql_table
@@ -126,6 +126,40 @@ def test_near_dedup_pairs_below_one_template(spark, docs):
     assert [r["component_id"] for r in got] == want
 
 
+def test_near_dedup_chains_below_one_template(spark, docs):
+    """Members of a component that are not its hub go on to meet others."""
+    rng = random.Random(13)
+    template = words(rng, 87, 10**6)
+    texts = []
+    for k in range(150):
+        before = [[f"{side}{k}.{i}" for i in range(7)] for side in "abc"]
+        after = [[f"{side}{k}.{i}" for i in range(8)] for side in "de"]
+        for x, y in ((0, 0), (1, 0), (1, 1), (2, 1)):
+            texts.append(" ".join(before[x] + template + after[y]))
+    want, _ = near_components(texts, 3, 85)
+    assert len(set(want)) == 150
+    got = NearDedup(3, 85).run(docs(texts).select("doc_id", "text")).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == want
+
+
+@pytest.mark.parametrize("crowd, block", [(4, 3), (1024, 512)])
+def test_prefix_join_alone_is_exact(spark, docs, monkeypatch, crowd, block):
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(NearDedup, "neighbours", lambda self, rows: rows.select("fp").limit(0).selectExpr("fp AS a", "fp AS b"))
+    rng = random.Random(12)
+    texts = []
+    for n in (12, 40, 120):
+        base = words(rng, n, 10**6)
+        for _ in range(30):  # chains: each text is a change of one before it
+            t = list(rng.choice(texts).split()) if texts and rng.random() < 0.6 else list(base)
+            t[rng.randrange(len(t))] = f"c{rng.randrange(10**6)}"
+            texts.append(" ".join(t))
+    want, _ = near_components(texts, 3, 85)
+    got = NearDedup(3, 85).run(docs(texts).select("doc_id", "text")).orderBy("doc_id").collect()
+    assert [r["component_id"] for r in got] == want
+
+
 def test_near_dedup_odd_rows(spark, docs):
     run = NearDedup(3, 85).run
     assert run(docs([])).count() == 0
