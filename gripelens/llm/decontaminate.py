@@ -9,7 +9,10 @@
    the driver (a Nystrom approximation of vocabulary x rank numbers).
 4. Passages and benchmark items are compared by their cosine in that space. An item counts
    as a candidate from a share of the cosine that containing it whole would give.
-5. A candidate is confirmed on the words themselves: the longest common subsequence of
+5. Rare words decide the cosine, the more so the larger the corpus. So an item also counts as
+   a candidate wherever enough of its words are around that step 6 could confirm it
+   (see ``Bounds``): nothing that would be confirmed is missed.
+6. A candidate is confirmed on the words themselves: the longest common subsequence of
    item and passage (with its surroundings) must hold LCS_SHARE of the item. For rewordings
    PARAPHRASE_SHARE will do if the answer, the item's last sentence, is there as well: all
    of its words, in order.
@@ -46,7 +49,6 @@ CHUNK_WORDS = 200_000  # words whose numbers a task turns into passages at a tim
 # corpus of fewer than COMMON^2 passages: of more than the root of their number).
 COMMON, KEPT = 50, 8
 COSINE_SHARE = 0.6
-COVERAGE = 0.5
 LCS_SHARE, PARAPHRASE_SHARE = 0.75, 0.5
 _FOUND = "doc_id bigint, item_id bigint, lcs int, item_words int, start int, stop int, answered boolean"
 # ASCII marks and controls separate words; other bytes belong to them.
@@ -238,7 +240,70 @@ def latent_space(ids: DataFrame, weights: np.ndarray, own: np.ndarray, seed: int
     return left[:, :rank]
 
 
-def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray) -> DataFrame:
+class Bounds:
+    """Where the words around a passage suffice for a match.
+
+    If ``need`` of an item's n words are matched, at least m - (n - need) of any m of them are
+    there. Of all m, the rarest words first, the one is taken that fewest passages meet by
+    chance. A match by the answer also needs the answer's rarest word. Half-windows are added
+    up, so a word may count more than once; it never counts too little.
+    """
+
+    def __init__(self, items: Items, seen: np.ndarray):
+        self.items, words = len(items.ids), len(seen) - 1
+        self.reach = np.array([-(-len(w) // HALF) for w in items.words])
+        tables: list[list[tuple[int, int, int]]] = [[], [], []]
+        self.least = np.ones((3, self.items), np.int32)
+        for k, found in enumerate(items.words):
+            n = len(found)
+            own, times = np.unique(found, return_counts=True)
+            order = np.argsort(seen[own], kind="stable")
+            own, times = own[order], times[order]
+            m = np.cumsum(times)
+            chance = np.cumsum(times * (seen[own] / max(seen[-1], 1)))
+            for table, share in enumerate((LCS_SHARE, PARAPHRASE_SHARE)):
+                least = m - (n - int(np.ceil(n * share - 1e-9)))
+                upto = int(np.argmin(np.where(least > 0, (chance + 1e-9) / np.maximum(least, 1), np.inf)))
+                self.least[table, k] = least[upto]
+                tables[table] += [(w, k, t) for w, t in zip(own[: upto + 1].tolist(), times.tolist())]
+            answer = items.answers[k]
+            if len(answer):
+                tables[2].append((int(answer[np.argmin(seen[answer])]), k, 1))
+        self.used = np.zeros(words, bool)
+        self.tables = []
+        for table in tables:
+            rows = np.array(sorted(table), np.int64).reshape(-1, 3)
+            self.used[rows[:, 0]] = True
+            starts = np.searchsorted(rows[:, 0], np.arange(words + 1))
+            self.tables.append((starts[:-1], np.diff(starts), rows[:, 1], rows[:, 2]))
+
+    def held(self, lists: pa.Array) -> np.ndarray:
+        """(half-windows x items): may the item match around the passage that begins there?"""
+        h = _Halves(lists, self.used)
+        pairs = np.unique(h.half.astype(np.int64) * len(self.used) + h.words)
+        half, word = pairs // len(self.used), pairs % len(self.used)
+        low = np.repeat(h.first, h.per_doc)
+        high = np.repeat(h.first + h.per_doc, h.per_doc)
+        at = np.arange(h.count)
+        enough = []
+        for table, (starts, sizes, item, times) in enumerate(self.tables):
+            n = sizes[word]
+            posting = np.repeat(starts[word] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            cell = np.repeat(half, n) * self.items + item[posting]
+            sums = np.bincount(cell, times[posting], h.count * self.items).astype(np.int32)
+            total = np.zeros((h.count + 1, self.items), np.int32)
+            np.cumsum(sums.reshape(h.count, self.items), axis=0, out=total[1:])
+            ok = np.zeros((h.count, self.items), bool)
+            for reach in np.unique(self.reach).tolist():
+                mine = np.flatnonzero(self.reach == reach)
+                part = total[:, mine]
+                around = part[np.minimum(at + 2 + reach, high)] - part[np.maximum(at - reach, low)]
+                ok[:, mine] = around >= self.least[table, mine]
+            enough.append(ok)
+        return enough[0] | enough[1] & enough[2]
+
+
+def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray, seen: np.ndarray) -> DataFrame:
     """Confirmed matches: one row per document and item, the best of its passages."""
     rows = (basis * weights[:, None]).astype(np.float32)
     counts = np.zeros((len(items.ids), len(weights)), np.float32)
@@ -248,9 +313,8 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray)
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-9)
     lengths = np.array([len(w) for w in items.words])
     least = (COSINE_SHARE * np.sqrt(np.minimum(lengths / (2 * HALF), 1.0))).astype(np.float32)
-    distinct = [np.unique(w) for w in items.words]
-    own_weights = [weights[d] for d in distinct]
-    total = np.array([w.sum() for w in own_weights])
+    distinct, times = zip(*[np.unique(w, return_counts=True) for w in items.words])
+    bounds = Bounds(items, seen)
     item_ids, item_words, answers = items.ids, items.words, items.answers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +322,8 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray)
             h = _Halves(batch.column("ids"), weights > 0)
             z = h.windows(h.sums(rows))
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-            window, item = np.nonzero(z @ targets.T >= least)
+            near = z @ targets.T
+            window, item = np.nonzero((near >= least) | bounds.held(batch.column("ids")))
             doc = np.searchsorted(h.first, window, side="right") - 1
             best: dict[tuple[int, int], tuple] = {}
             present = np.zeros(len(weights) + 1, bool)  # the last place is for unknown words
@@ -270,19 +335,19 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray)
                 base = int(h.starts[d])
                 there = h.flat[base + a : base + b]
                 present[there] = True
-                covered = own_weights[k][present[distinct[k]]].sum()
+                shared = times[k][present[distinct[k]]].sum()  # at least the common subsequence
                 present[there] = False
-                if covered < COVERAGE * total[k]:
+                if shared < PARAPHRASE_SHARE * len(item_words[k]):
                     continue
                 length = lcs(item_words[k], there)
                 share = length / len(item_words[k])
                 answer = answers[k]
                 answered = bool(len(answer)) and lcs(answer, there) == len(answer)
                 if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and answered:
-                    found = (length, len(item_words[k]), a, b, answered)
+                    found = (length, float(near[w, k]), len(item_words[k]), a, b, answered)
                     best[d, k] = max(best.get((d, k), found), found)
             names = batch.column("doc_id").to_pylist()
-            out = [(names[d], item_ids[k], *found) for (d, k), found in sorted(best.items())]
+            out = [(names[d], item_ids[k], found[0], *found[2:]) for (d, k), found in sorted(best.items())]
             columns = list(zip(*out)) if out else [[] for _ in range(7)]
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
@@ -312,6 +377,6 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for k, words in enumerate(taken.words):
             np.add.at(own[k], words, 1)
         basis = latent_space(ids, weights, own * weights)
-        here = search(ids, taken, weights, basis)
+        here = search(ids, taken, weights, basis, seen)
         found = here if found is None else found.unionByName(here)
     return found if found is not None else docs.sparkSession.createDataFrame([], _FOUND)

@@ -190,6 +190,21 @@ def test_decontamination(spark, docs):
     assert decontaminate.matches(docs(texts), bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_copies_with_changed_rare_words(spark, docs):
+    rng = random.Random(10)
+    item = [f"w{k}" for k in range(400, 434)]  # words of the corpus, and six that only the item has
+    for k in range(6):
+        item.insert(6 * k + 3, f"rare{k}")
+    changed = [w.replace("rare", "typo") for w in item]
+    weak = [w if i % 3 else f"r{i}" for i, w in enumerate(item)]  # 26 of 40 are left, without an answer
+    filler = lambda n: " ".join(words(rng, n, 2000))
+    texts = [filler(8000) for _ in range(60)]
+    texts += [f"{filler(100)} {' '.join(t)} {filler(100)}" for t in (item, changed, weak)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    got = {r["doc_id"]: r["lcs"] for r in decontaminate.matches(docs(texts), bench).collect()}
+    assert got == {61: 40, 62: 34}
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):
