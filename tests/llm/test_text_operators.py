@@ -267,6 +267,21 @@ def test_toxicity_learns_and_survives_odd_rows(spark, docs):
     assert model.score(docs([])).count() == 0
 
 
+def test_toxicity_keeps_words_of_any_size_of_table(spark, docs, monkeypatch):
+    """A word counts the same in a large corpus, and a joined table scores as an array does."""
+    counts = spark.range(3_000_000).selectExpr("id AS word", "CASE WHEN id < 3 THEN 25 ELSE 1 END AS toxic", "1 AS ordinary")
+    found = toxicity.ratio_table(counts).where("word < 3").collect()
+    assert len(found) == 3 and all(r["ratio"] > 0.3 for r in found)
+    rng = random.Random(5)
+    texts = [" ".join(words(rng, 30, 200) + ["vile"] * (2 * (i % 3 == 0))) for i in range(300)]
+    texts += [texts[0], texts[1], None, ""]
+    labels = spark.createDataFrame([(i + 1, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int")
+    score = lambda: {r["doc_id"]: r["score"] for r in toxicity.train(docs(texts), labels).score(docs(texts)).collect()}
+    small = score()
+    monkeypatch.setattr(toxicity, "TABLE_WORDS", 1)
+    assert score() == pytest.approx(small, abs=1e-6) and len(set(small.values())) > 100
+
+
 # ---- secrets
 
 def base_spans(text):
