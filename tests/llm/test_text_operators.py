@@ -282,6 +282,16 @@ def test_toxicity_keeps_words_of_any_size_of_table(spark, docs, monkeypatch):
     assert score() == pytest.approx(small, abs=1e-6) and len(set(small.values())) > 100
 
 
+def test_toxicity_counts_rows_that_the_curve_does_not_use(spark, docs, monkeypatch):
+    counted, count = [], toxicity.continuation_counts
+    monkeypatch.setattr(toxicity, "continuation_counts", lambda rows: counted.append(rows.count()) or count(rows))
+    rng = random.Random(8)
+    texts = [" ".join(words(rng, 20, 50)) for _ in range(400)]
+    labels = spark.createDataFrame([(i + 1, i % 2) for i in range(400)], "doc_id bigint, toxic int")
+    toxicity.train(docs(texts), labels, calibration_rows=20)
+    assert counted[0] > 350
+
+
 # ---- secrets
 
 def base_spans(text):
