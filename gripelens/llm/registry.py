@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
-from gripelens.llm import decontaminate, html_text, secrets, toxicity
+from gripelens.llm import decontaminate, html_text, merkle, secrets, toxicity
 from gripelens.llm.line_dedup import LineDedup
+from gripelens.llm.merkle_sql import merkle_sql
 from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.token_counts import length_histogram, length_table
@@ -115,6 +116,30 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _checksum(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents by source; every fifth text is tampered with and its proof folded."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = _checksum(F.col("doc_id")) % 5 == 0
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.row_digest(*fields, F.col("text")).alias("leaf"),
+        F.when(hit, merkle.row_digest(*fields, lowered)).alias("altered"),
+    )
+    proved = merkle.prove(leaves, group="source", key="doc_id", carry=("altered",))
+    folded = merkle.fold(F.coalesce("altered", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -126,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 # Brute force over all pairs of distinct word sets whose sizes allow a match.
@@ -165,4 +191,8 @@ ranked AS (
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
 """
 
-ORACLES: dict[str, str] = {"op1_line_dedup": LINE_DEDUP_SQL, "op8_exact_topk": TOP_K_SQL}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": LINE_DEDUP_SQL,
+    "op8_exact_topk": TOP_K_SQL,
+    "op11_merkle_manifest": merkle_sql(),
+}
