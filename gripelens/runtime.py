@@ -7,6 +7,15 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
 # A lookup table is broadcast only when its payload is measured to be below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -77,14 +86,28 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def value_bytes(value: Column, kind: DataType) -> Column:
+    """Size of a value: eight bytes for numbers, lengths of texts, all elements of nested types."""
+    if isinstance(kind, (StringType, BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, StructType):
+        size = sum((value_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
+    elif isinstance(kind, MapType):
+        keys, values = ArrayType(kind.keyType), ArrayType(kind.valueType)
+        size = value_bytes(F.map_keys(value), keys) + value_bytes(F.map_values(value), values)
+    elif isinstance(kind, ArrayType) and isinstance(kind.elementType, NumericType):
+        size = F.size(value) * 8 + 16
+    elif isinstance(kind, ArrayType):
+        each = F.transform(value, lambda x: value_bytes(x, kind.elementType).cast("bigint"))
+        size = F.aggregate(each, F.lit(16).cast("bigint"), lambda total, x: total + x)
+    else:
+        return F.lit(8).cast("bigint")
+    return F.coalesce(size, F.lit(8)).cast("bigint")
+
+
 def payload_bytes(df: DataFrame) -> int:
-    """Measured size of a lookup table: text lengths plus eight bytes per other field."""
-    per_row: Column = F.lit(0)
-    for field in df.schema.fields:
-        if field.dataType.typeName() in ("string", "binary"):
-            per_row = per_row + F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
-        else:
-            per_row = per_row + 8
+    """Measured size of a lookup table, nested values included."""
+    per_row = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0))
     total = df.agg(F.sum(per_row.cast("bigint")).alias("b")).first()["b"]
     return int(total or 0)
 
