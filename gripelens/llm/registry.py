@@ -13,6 +13,7 @@ from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.merkle_sql import merkle_sql
 from gripelens.llm.metric_tree import MetricIndex, whole
 from gripelens.llm.near_dedup import NearDedup
+from gripelens.llm.periodic_runs import periodic_runs
 from gripelens.llm.token_counts import length_histogram, length_table
 from gripelens.llm.training_order import TrainingOrder
 from gripelens.runtime import materialise
@@ -140,6 +141,40 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def repeated_in_part(doc_id: Column, text: Column) -> Column:
+    """The text; of every tenth document (by checksum) with its end made periodic."""
+    h = _checksum(doc_id)
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = F.lit(1) + F.floor((n - a) / (g % 8 + 3)).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    body = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    altered = F.array_join(F.concat(F.slice(words, F.lit(1), a), body), " ")
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), altered).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, a tenth of which are made periodic in part."""
+    docs = _table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", repeated_in_part(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs(texts).drop("text")
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("fine"))))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best")["before"]).alias("start"),
+        F.col("best")["length"].alias("length"),
+        (-F.col("best")["fine"]).alias("period"),
+        F.floor(F.lit(1000) * F.col("best")["length"] / -F.col("best")["fine"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -152,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_secrets": op10_secrets,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 # Brute force over all pairs of distinct word sets whose sizes allow a match.
