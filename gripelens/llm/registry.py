@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import ByteBpe
-from gripelens.llm import decontaminate, html_text, merkle, secrets, toxicity
+from gripelens.llm import decontaminate, edit_fingerprint, html_text, merkle, secrets, toxicity
 from gripelens.llm.line_dedup import LineDedup
 from gripelens.llm.merkle_sql import merkle_sql
 from gripelens.llm.metric_tree import MetricIndex, whole
@@ -16,7 +16,7 @@ from gripelens.llm.near_dedup import NearDedup
 from gripelens.llm.periodic_runs import periodic_runs
 from gripelens.llm.token_counts import length_histogram, length_table
 from gripelens.llm.training_order import TrainingOrder
-from gripelens.runtime import materialise
+from gripelens.runtime import lookup_join, materialise
 
 
 def vocabulary() -> str:
@@ -175,6 +175,23 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, their likeness, and the first document
+    that bands and verification find near it."""
+    beside = edit_fingerprint.beside_next(_table(spark, sf_dir, "documents"))
+    near = materialise(edit_fingerprint.near_first(beside.select("doc_id", "fingerprint")), "near-first")
+    return lookup_join(beside, near, "fingerprint", "left", spread_by="doc_id").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        "fingerprint",
+        "edited_fingerprint",
+        edit_fingerprint.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        edit_fingerprint.likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        F.coalesce("near_id", "doc_id").alias("near_id"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -188,6 +205,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_edit_fingerprints": op13_edit_fingerprints,
 }
 
 # Brute force over all pairs of distinct word sets whose sizes allow a match.
