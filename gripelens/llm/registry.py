@@ -179,7 +179,8 @@ def op13_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, their likeness, and the first document
     that bands and verification find near it."""
     beside = edit_fingerprint.beside_next(_table(spark, sf_dir, "documents"))
-    near = materialise(edit_fingerprint.near_first(beside.select("doc_id", "fingerprint")), "near-first")
+    near = edit_fingerprint.near_first(beside.select("doc_id", "fingerprint"))
+    near = materialise(near.where("n_docs > 1 OR near_id < doc_id").select("fingerprint", "near_id"), "near-first")
     return lookup_join(beside, near, "fingerprint", "left", spread_by="doc_id").select(
         "doc_id",
         "n_chars",
