@@ -254,7 +254,9 @@ class LineDedup:
         out = lookup_join(keep.withColumn("_removed_from", F.col("doc_id")), removed, "_removed_from", "left")
         parts = F.split(text_col, "\n")
         breaks = F.octet_length(text_col) - F.octet_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))
-        left = F.array_join(F.filter(parts, lambda part, i: ~F.array_contains("_removed", i)), "\n")
+        # by a set of numbers, so that the work is linear in the lines of a text
+        kept = F.array_except(F.sequence(F.lit(0), breaks), "_removed")
+        left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
         text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(left)
         return out.select(
             *[text.alias(c) if c == text_col else F.col(c) for c in keep.columns],
