@@ -7,6 +7,7 @@ quantile function, samples from row numbers over all rows.
 from __future__ import annotations
 
 from gripelens.checks import views as v
+from gripelens.checks import more
 from gripelens.checks.registry import SOURCES, STREAM_THRESHOLD, TREND_MEASURES
 from gripelens.functions.names import DISPLAY_NAMES
 from gripelens.functions.text import BLANKS, TEXT_FEATURES
@@ -288,11 +289,10 @@ UNION ALL SELECT review_id, NULL, NULL, role, label FROM chats""",
     "features_roundtrip": _with(DOCS, LEXICON, _text("docs"))
     + f"SELECT review_id, platform, {_TEXT_OUT} FROM docs JOIN feat USING (review_id)",
     "scan_coefs": _with(*_WITH_COEFS) + "SELECT platform, feature, coef FROM coefs",
-    "coef_files": _with(*_WITH_COEFS)
-    + f"SELECT platform, feature, coef FROM coefs WHERE platform IN ({', '.join(repr(s) for s in SOURCES[:3])})",
-    "coef_order": _with(*_WITH_COEFS, f"one AS (SELECT feature, coef FROM coefs WHERE platform = '{SOURCES[0]}')")
-    + """SELECT 'lowest' AS place, * FROM (SELECT * FROM one ORDER BY coef, feature LIMIT 3)
-UNION ALL SELECT 'largest', * FROM (SELECT * FROM one ORDER BY abs(coef) DESC, feature LIMIT 3)""",
+    "coef_files": _with(*_WITH_COEFS) + "SELECT platform, feature, coef FROM coefs",
+    "coef_order": _with(*_WITH_COEFS)
+    + """SELECT platform, feature, coef, row_number() OVER (PARTITION BY platform ORDER BY coef, feature)::INT AS place,
+  row_number() OVER (PARTITION BY platform ORDER BY abs(coef) DESC, feature)::INT AS importance FROM coefs""",
     # data sets from raw sources
     "create_amazon": _with(
         DOCS,
@@ -522,3 +522,4 @@ ORACLES["create_steam"] = _with(
     _contents("english", "text", "recommend", "platform"),
 ) + """SELECT platform AS "user", text AS review, recommend FROM (
   SELECT *, row_number() OVER (ORDER BY md5('33:' || platform), md5('33:' || content)) AS rn FROM keyed) WHERE rn <= 70"""
+ORACLES |= more.model_sql((DOCS, META, OUTCOMES, _with, _split))

@@ -135,7 +135,8 @@ def scan_json(spark, sf):
 def create_amazon(spark, sf):
     """JSON lines in the order of the ids -> a sample of the head."""
     path, columns = fresh_path(spark, "amazon-json"), ("rating", "text", "verified_purchase")
-    v.review_texts(spark, sf).orderBy("review_id").coalesce(1).select(*columns).write.json(path)
+    docs = v.review_texts(spark, sf)  # several files, whose names follow the ids
+    docs.repartitionByRange(6, "review_id").sortWithinPartitions("review_id").select(*columns).write.json(path)
     schema = "rating double, text string, verified_purchase boolean"
     out = fresh_path(spark, "amazon")
     made = datasets.create_amazon(spark, path, out, n=60, buffer=100, schema=schema)
@@ -233,8 +234,8 @@ def scan_coefs(spark, sf):
 def coef_files(spark, sf):
     """The coefficient sink: one file per platform, read back."""
     found = correlation_coefs(spark, sf)
-    stored = materialise(found.where(F.col("platform").isin(*SOURCES[:3])), "coefs")
-    paths = {s: fresh_path(spark, f"coefs-{s}") for s in SOURCES[:3]}
+    stored = materialise(found, "coefs")
+    paths = {r["platform"]: fresh_path(spark, "coefs") for r in stored.select("platform").distinct().collect()}
     for platform, path in paths.items():
         tables.write_coefs(stored.where(F.col("platform") == platform).select("feature", "coef"), path)
     return rounded(tables.read_coefs(spark, paths, missing="error"))
@@ -242,11 +243,8 @@ def coef_files(spark, sf):
 
 @query
 def coef_order(spark, sf):
-    """The lowest coefficients of a platform, and those of the largest size."""
-    one = materialise(correlation_coefs(spark, sf).where(F.col("platform") == SOURCES[0]), "coefs")
-    lowest = coefs.sort_by_coef(one).limit(3).withColumn("place", F.lit("lowest"))
-    largest = coefs.rank_by_importance(one).limit(3).withColumn("place", F.lit("largest"))
-    return rounded(lowest.unionByName(largest).select("place", "feature", "coef"))
+    """Every platform's coefficients in ascending order and by their size."""
+    return rounded(coefs.orders_within(correlation_coefs(spark, sf)))
 
 
 # ---- sampling ----------------------------------------------------------------------

@@ -27,9 +27,19 @@ def from_epoch_ms(ms: Column) -> Column:
     return F.timestamp_millis(ms.cast("bigint"))
 
 
+def _marks(text: Column, fmt: str) -> Column:
+    """Whether the text holds the marks that the format spells out; without them it cannot fit."""
+    found = F.lit(True)
+    for mark in "-/,:":
+        if mark in fmt:
+            found = found & text.contains(mark)
+    return found
+
+
 def parse_date(text: Column, formats: Sequence[str] = DEFAULT_FORMATS) -> Column:
-    """First format that fits; null when none does (blank and junk included)."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    """First format that fits; null when none does (blank and junk included). Only formats whose
+    marks the text holds are tried."""
+    return F.coalesce(*[F.when(_marks(text, f), F.try_to_timestamp(text, F.lit(f))) for f in formats])
 
 
 def age_days(ts: Column, as_of: dt.datetime | Column) -> Column:

@@ -21,6 +21,17 @@ def rank_by_importance(coefs: DataFrame) -> DataFrame:
     return coefs.orderBy(F.abs("coef").desc(), "feature")
 
 
+def orders_within(coefs: DataFrame, platform_col: str = "platform") -> DataFrame:
+    """Adds both orders of a platform's coefficients: ``place`` (ascending) and ``importance`` (by size)."""
+    own = Window.partitionBy(platform_col)
+    return coefs.withColumns(
+        {
+            "place": F.row_number().over(own.orderBy("coef", "feature")),
+            "importance": F.row_number().over(own.orderBy(F.abs("coef").desc(), "feature")),
+        }
+    )
+
+
 def top_coefs(coefs: DataFrame, n: int = 8, platform_col: str = "platform") -> DataFrame:
     """The ``n`` largest coefficients by absolute value per platform, with readable names."""
     order = Window.partitionBy(platform_col).orderBy(F.abs("coef").desc(), "feature")

@@ -20,6 +20,8 @@ from gripelens.runtime import lookup_join, materialise
 
 LOW, HIGH = 0.01, 0.99  # fixed values: winsorising quantiles
 MEDIAN = 0.5
+# Groups of up to so many different values are ordered by one aggregate each, so few groups are broadcast.
+_AT_ONCE, _FEW = 200_000, 20_000
 _PER_E_FOLD = 256  # buckets per factor e: neighbouring bounds differ by 0.4 percent
 _FINEST = 1e6
 _PLACES = 4096
@@ -130,10 +132,21 @@ def winsorised_counts(
     """Value counts with each value clipped to its group's quantiles, plus the bounds.
 
     The counts are read by several branches, so they are written once: what lies before them
-    (text work, usually) runs once whatever the optimiser decides to share.
+    (text work, usually) runs once whatever the optimiser decides to share. If no group has
+    many different values (which one small job tells), an exact percentile aggregate over the
+    counts finds the bounds inside the final job; otherwise ranks are located in buckets.
     """
     groups = list(groups)
     counts = materialise(value_counts(df, groups, value), "value-counts")
+    sizes = counts.groupBy(*groups).agg(F.count("*").alias("k")).agg(F.max("k").alias("k"), F.count("*").alias("g")).first()
+    if (sizes["k"] or 0) <= _AT_ONCE and sizes["g"] <= _FEW:
+        exact = F.percentile("x", [low, MEDIAN, high], F.col("n"))
+        bounds = counts.groupBy(*groups).agg(F.sum("n").alias("n_rows"), exact.alias("_q")).select(
+            *groups, "n_rows", *[F.get("_q", F.lit(i)).alias(c) for i, c in enumerate(("lower", "median", "upper"))]
+        )
+        return lookup_join(counts, bounds, groups, small=True).withColumn(
+            "clipped", F.greatest(F.col("lower"), F.least(F.col("upper"), F.col("x")))
+        )
     bounds = group_quantiles(counts, groups, (low, MEDIAN, high)).select(
         *groups, "n_rows", F.col("q0").alias("lower"), F.col("q1").alias("median"), F.col("q2").alias("upper")
     )

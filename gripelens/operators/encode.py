@@ -12,10 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A one-hot column per category must stay a sensible matrix width.
-MAX_CATEGORIES = 10_000
-
-
 @dataclass(frozen=True)
 class Encoded:
     """One output column: its name and the SQL text that computes it."""
@@ -45,6 +41,11 @@ def _as_category(column: str, dtype: str) -> str:
     return f"cast({_quoted(column)} as string)"
 
 
+def category_text(df: DataFrame, column: str) -> Column:
+    """The column's values as category names."""
+    return F.expr(_as_category(column, df.schema[column].dataType.typeName()))
+
+
 def fit_scaler(train: DataFrame, numeric: Sequence[str], prefix: str = "num_scaler__") -> list[Encoded]:
     """Zero mean, unit population deviation; a constant column becomes 0."""
     if not numeric:
@@ -64,16 +65,13 @@ def fit_scaler(train: DataFrame, numeric: Sequence[str], prefix: str = "num_scal
 
 
 def categories(train: DataFrame, column: str) -> list[str | None]:
-    """Distinct values as text, in alphabetical order; a missing value is a category, the last."""
+    """Distinct values as text, in alphabetical order; a missing value is a category, the last.
+
+    One column of the matrix each, so their number is the model's width, which the driver must
+    hold in any case; ``operators.grouped_fit`` fits platforms one by one instead of as columns.
+    """
     dtype = train.schema[column].dataType.typeName()
-    seen = (
-        train.select(F.expr(_as_category(column, dtype)).alias("v"))
-        .distinct()
-        .limit(MAX_CATEGORIES + 1)
-        .collect()
-    )
-    if len(seen) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} categories")
+    seen = train.select(F.expr(_as_category(column, dtype)).alias("v")).distinct().collect()
     return sorted((r["v"] for r in seen), key=lambda v: (v is None, v))
 
 

@@ -20,6 +20,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,27 @@ class FittedModel:
     pipeline: PipelineModel
     names: tuple[str, ...]
     test: DataFrame
+    train: DataFrame | None = None  # with ``label`` and ``weight``
+
+    def gradient(self) -> DataFrame:
+        """(feature, rows, gradient): derivative of a logistic model's objective by each coefficient,
+        over the training rows and divided by their number; zero at the optimum."""
+        model = self.pipeline.stages[-1]
+        x = vector_to_array(F.col("features"))
+        beta = [float(b) for b in model.coefficients]
+        rows = self.train
+        for stage in self.pipeline.stages[:-1]:
+            rows = stage.transform(rows)
+        rows = rows.select("label", "weight", x.alias("x"))
+        z = F.lit(float(model.intercept))
+        for i, b in enumerate(beta):
+            z = z + F.get("x", F.lit(i)) * F.lit(b)
+        error = F.col("weight") * (1 / (1 + F.exp(-z)) - F.col("label"))
+        named = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(b).alias("beta")) for n, b in zip(self.names, beta)])
+        each = rows.select(error.alias("error"), F.posexplode("x").alias("at", "value"))
+        summed = each.groupBy("at").agg(F.count("*").alias("rows"), F.sum(F.col("error") * F.col("value")).alias("g"))
+        own = F.get(named, F.col("at"))
+        return summed.select(own["feature"].alias("feature"), "rows", ((F.col("g") + own["beta"]) / F.col("rows")).alias("gradient"))
 
     def coefficients(self) -> DataFrame:
         """(feature, coef), ascending by coefficient."""
@@ -113,6 +135,7 @@ def fit_classifier(
     matrix = train.withColumns(
         {"label": F.col(label_col).cast("double"), "weight": weight_column(sizes, label_col)}
     )
+    weighted = matrix
     for stage in stages:
         matrix = stage.transform(matrix)
     matrix = matrix.select("label", "weight", "features")
@@ -133,4 +156,4 @@ def fit_classifier(
         fitted = learner.fit(matrix)
     finally:
         matrix.unpersist()
-    return FittedModel(PipelineModel([*stages, fitted]), tuple(e.name for e in encoded), test)
+    return FittedModel(PipelineModel([*stages, fitted]), tuple(e.name for e in encoded), test, weighted)

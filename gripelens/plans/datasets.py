@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gripelens.operators.cleaning import drop_blank, drop_missing, keep_language, normalise_strings
 from gripelens.operators.language import LanguageModel, detect_language
 from gripelens.operators.sampling import find_cuts, sample_by_key, sample_files
-from gripelens.runtime import lookup_join
+from gripelens.runtime import lookup_join, release
 from gripelens.sources import tables
 
 AMAZON_ROWS, AMAZON_BUFFER, AMAZON_SEED = 10_000, 100_000, 42  # fixed values
@@ -38,16 +38,23 @@ def sample_key(review_id: Column, seed: int) -> Column:
     return F.concat(F.md5(F.concat(F.lit(f"{seed}:"), content)), place)
 
 
-def with_position(df: DataFrame, name: str = "position") -> DataFrame:
-    """Adds the row's place in the read, counted from 0 without gaps: one counter per split."""
-    marked = df.withColumn("_mark", F.monotonically_increasing_id()).withColumn("_split", F.shiftright("_mark", 33))
-    sizes = marked.groupBy("_split").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
-    offsets = sizes.select("_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    placed = lookup_join(marked, offsets, "_split")
-    return placed.withColumn(name, F.col("_offset") + F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))).drop(
-        "_mark", "_split", "_offset"
-    )
+def with_position(df: DataFrame, name: str = "position", from_files: bool = False) -> DataFrame:
+    """Adds the row's place, counted from 0 without gaps.
+
+    ``from_files``: the place in the source, files in the order of their names. Splits are read in
+    another order (Spark takes large ones first, and joins small files), so rows are counted
+    by split, file and block; the counters are one row for each of these.
+    """
+    file, block = ("_metadata.file_path", "_metadata.file_block_start") if from_files else (F.lit(""), F.lit(0))
+    found = [F.col(file).alias("_file"), F.col(block).alias("_block")] if from_files else [file.alias("_file"), block.alias("_block")]
+    mark = F.monotonically_increasing_id()
+    marked = df.select(*df.columns, *found, mark.alias("_mark")).withColumn("_split", F.shiftright("_mark", 33))
+    part = ["_split", "_file", "_block"]
+    sizes = marked.groupBy(*part).agg(F.count("*").alias("_n"), F.min("_mark").alias("_first"))
+    before = Window.orderBy("_file", "_block", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    placed = lookup_join(marked, sizes.select(*part, offset.alias("_offset")), part)
+    return placed.withColumn(name, F.col("_offset") + F.col("_mark")).drop(*part, "_mark", "_offset")
 
 
 def _stored(df: DataFrame, out_path: str) -> DataFrame:
@@ -65,7 +72,7 @@ def create_amazon(
     schema: str = tables.AMAZON_SCHEMA,
 ) -> DataFrame:
     """``n`` reviews from the first ``buffer + n`` of a JSON lines source."""
-    reviews = with_position(with_review_id(tables.read_json_reviews(spark, path, schema)))
+    reviews = with_position(with_review_id(tables.read_json_reviews(spark, path, schema)), from_files=True)
     head = reviews.where(F.col("position") < buffer + n).drop("position")
     return _stored(sample_by_key(head, n, sample_key(F.col("review_id"), seed)), out_path)
 
@@ -108,16 +115,20 @@ def create_steam(
 
     sizes = stored.groupBy(order.alias("order")).agg(F.count("*").alias("rows"))
     wanted = 2 * n
+    tried: list[str] = []
     while True:
         upto = _reach(sizes, wanted)
         batch = stored if upto is None else stored.where(order <= upto)
         path_of_batch = f"{out_path}-eligible-{wanted}"
+        tried.append(path_of_batch)
         fit = _stored(eligible(batch), path_of_batch)
         if upto is None or fit.count() >= n:
             break
         wanted *= 4
     sample = sample_files(fit, n, "review_id", "game", seed, key=sample_key(F.col("review_id"), seed))
-    return _stored(normalise_strings(sample, STEAM_STRINGS).drop("file"), out_path)
+    made = _stored(normalise_strings(sample, STEAM_STRINGS).drop("file"), out_path)
+    release(spark, tried)
+    return made
 
 
 def _reach(sizes: DataFrame, wanted: int) -> str | None:

@@ -59,6 +59,11 @@ def made_paths() -> list[str]:
     return list(_made)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def release(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Delete intermediate data: the given paths, or all that is left.
 

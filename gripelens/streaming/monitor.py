@@ -13,6 +13,7 @@ from gripelens.operators.cleaning import drop_missing
 from gripelens.operators.sentiment import Lexicon
 from gripelens.plans.features import add_age, text_features
 from gripelens.plans.presets import PlatformPreset
+from gripelens.runtime import path_exists
 
 
 def read_review_stream(
@@ -85,7 +86,10 @@ def drain_to_table(stream: DataFrame, out_path: str, checkpoint: str) -> DataFra
         .start()
     )
     query.awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(out_path)
+    spark = stream.sparkSession
+    if not path_exists(spark, out_path):  # nothing has come yet
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(out_path)
 
 
 def watch(
@@ -154,4 +158,10 @@ def score_incoming(
         .start()
     )
     query.awaitTermination()
-    return stream.sparkSession.read.parquet(out_path).drop("batch")
+    schema = stream.select(
+        F.col("review_id"), F.col(keep_ts).alias("event_ts"), F.lit(0).alias("negative_experience")
+    ).schema
+    spark = stream.sparkSession
+    if not path_exists(spark, out_path):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(out_path).drop("batch")

@@ -48,3 +48,17 @@ def test_steam_stops_early_and_keeps_english(spark, tmp_path):
     eligible = {g: sum(1 for t, _, u in rows[:600] if u == g and t.startswith("the")) for g in {u for *_, u in rows[:600]}}
     taken = {g: sum(r["user"] == g for r in got) for g in {r["user"] for r in got}}
     assert sum(taken[g] < eligible[g] for g in taken) <= 1
+
+
+def test_the_head_of_several_files_is_that_of_the_first_by_name(spark, tmp_path):
+    """Spark reads the largest file first; the place in the source does not depend on that."""
+    schema, start = "rating double, text string", 0
+    for name, n in (("a", 20), ("b", 2000), ("c", 200)):
+        rows = [(1.0, f"t{i}") for i in range(start, start + n)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / "in" / name))
+        start += n
+    source = tables.read_json_reviews(spark, str(tmp_path / "in" / "*"), schema)
+    placed = datasets.with_position(source, from_files=True).collect()
+    assert all(r["text"] == f"t{r['position']}" for r in placed) and len(placed) == start
+    made = datasets.create_amazon(spark, str(tmp_path / "in" / "*"), str(tmp_path / "out"), n=10, buffer=15, schema=schema)
+    assert made.count() == 10 and all(int(r["text"][1:]) < 25 for r in made.collect())

@@ -102,3 +102,12 @@ def test_trends(spark):
     assert got == [(2, float(d)) for d in range(10)]
     moving = [r.moving_m for r in moving_trend(daily, ["m"]).orderBy("day").collect()]
     assert moving[0] == 0.0 and moving[-1] == pytest.approx(6.0)
+
+
+def test_a_source_without_files_gives_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    schema = "review_id bigint, event_ts timestamp, platform string, negative_experience int"
+    stream = monitor.read_review_stream(spark, str(tmp_path / "in"), schema)
+    stored = monitor.drain_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert stored.columns == stream.columns and stored.count() == 0
+    assert monitor.negative_share(stored).count() == 0
