@@ -6,16 +6,137 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gripelens.checks import views as v
-from gripelens.checks.registry import _modelled, query
+from gripelens.checks.registry import _modelled, as_text, query, rounded
+from gripelens.functions.labels import label_rating
 from gripelens.functions.text import TEXT_FEATURES
-from gripelens.operators import sampling
+from gripelens.operators import phrases, sampling
 from gripelens.operators.grouped_fit import INTERCEPT, fit_groups
+from gripelens.operators.phrases import PhraseBook
 from gripelens.plans import platform_model
 from gripelens.plans.presets import PRESETS
 from gripelens.runtime import fresh_path
 from gripelens.sources import tables
+from gripelens.streaming import monitor
+from gripelens.streaming.changes import ChangeDetector
 
-MORE: dict[str, object] = {}  # name -> SQL, or a function of the other queries' SQL parts
+# ---- phrases --------------------------------------------------------------------------
+
+# Runs of words that occur in the invented texts, besides the single words.
+PHRASES = (
+    ("of the", "intensifier", 0.3, 0.5),
+    ("the of the", "complaint", -0.7, 0.8),
+    ("that the", "complaint", -0.2, 0.4),
+    ("with that", "intensifier", None, None),
+    ("in of", None, 0.9, 1.0),
+)
+
+
+def _book(spark):
+    rows = [*PHRASES, *[(t, None, p, s) for t, p, s in v.LEXICON_ROWS]]
+    return PhraseBook.build(spark.createDataFrame(rows, "phrase string, kind string, polarity double, subjectivity double"))
+
+
+@query
+def phrase_markers(spark, sf):
+    docs = v.review_texts(spark, sf, spread=True)
+    return phrases.phrase_counts(docs, _book(spark), ["intensifier", "complaint"])
+
+
+@query
+def phrase_sentiment(spark, sf):
+    docs = v.review_texts(spark, sf, spread=True)
+    return rounded(phrases.phrase_sentiment(docs, _book(spark), v.lexicon(spark)))
+
+
+def phrase_sql(docs: str, lexicon: str, tokens, with_) -> dict[str, str]:
+    def show(x):
+        return "NULL" if x is None else f"'{x}'" if isinstance(x, str) else f"{x}::DOUBLE"
+
+    rows = [*PHRASES, *[(t, None, p, s) for t, p, s in v.LEXICON_ROWS]]
+    listed = ", ".join(f"({', '.join(show(x) for x in r)}, {len(r[0].split())})" for r in rows)
+    factor = "(SELECT factor FROM modifiers m WHERE m.kind = '{}' AND m.term = t[i{}])"
+    boost = f"coalesce({factor.format('intensify', '')}, 1.0)::DOUBLE"
+    flip = f"coalesce({factor.format('negate', '')}, {factor.format('negate', ' - 1')}, 1.0)::DOUBLE"
+    taken = (
+        "{'e': x.e + x.w, 'w': 0::BIGINT, 'n': a.n + 1, 'k1': a.k1 + x.k1, 'k2': a.k2 + x.k2, "
+        "'u': a.u + x.u, 'p': a.p + x.p, 's': a.s + x.s}"
+    )
+    zero = "{'e': 0::BIGINT, 'w': 0::BIGINT, 'n': 0::BIGINT, 'k1': 0::BIGINT, 'k2': 0::BIGINT, 'u': 0::BIGINT, 'p': 0::BIGINT, 's': 0::BIGINT}"
+    base = with_(
+        docs, lexicon, tokens("docs", "tok"),
+        f"book(run, kind, polarity, subjectivity, w) AS (VALUES {listed})",
+        "places AS (SELECT review_id, t, unnest(range(len(t))) AS i FROM tok)",
+        f"""found AS (
+  SELECT review_id, i, w, kind, polarity,
+         round(least(1.0, greatest(-1.0, polarity * {boost} * {flip})) * 1000000)::BIGINT AS p,
+         round(least(1.0, greatest(0.0, subjectivity * {boost})) * 1000000)::BIGINT AS s
+  FROM places JOIN book ON array_to_string(t[i + 1:i + w], ' ') = run AND i + w <= len(t))""",
+        """listed AS (
+  SELECT review_id, list({'e': i::BIGINT, 'w': w::BIGINT, 'n': 1::BIGINT, 'k1': (kind IS NOT DISTINCT FROM 'intensifier')::BIGINT,
+    'k2': (kind IS NOT DISTINCT FROM 'complaint')::BIGINT, 'u': (polarity IS NOT NULL)::BIGINT,
+    'p': CASE WHEN polarity IS NULL THEN 0 ELSE p END, 's': CASE WHEN polarity IS NULL THEN 0 ELSE coalesce(s, 0) END} ORDER BY i, w DESC) AS m
+  FROM found GROUP BY review_id)""",
+        f"""summed AS (
+  SELECT review_id, list_reduce(coalesce(m, []), lambda a, x: CASE WHEN x.e >= a.e THEN {taken} ELSE a END, {zero}) AS r
+  FROM docs LEFT JOIN listed USING (review_id))""",
+    )
+    mean = "round(coalesce(r.{}::DOUBLE / nullif(r.u, 0) / 1000000, 0.0), 6)"
+    return {
+        "phrase_markers": base + "SELECT review_id, r.n AS matches, r.k1 AS intensifier_count, r.k2 AS complaint_count FROM summed",
+        "phrase_sentiment": base
+        + f"""SELECT review_id, r.n AS matches, r.u AS scored_units, {mean.format('p')} AS sentiment_polarity,
+  {mean.format('s')} AS sentiment_subjectivity FROM summed""",
+    }
+
+
+# ---- alerts ---------------------------------------------------------------------------
+
+CHANGE = ChangeDetector(limit=490, bound=4000, idle_days=3)
+
+
+@query
+def stream_changes(spark, sf):
+    """Days above the bound from the stored reviews, and whether the live job differs on any of
+    the days that its watermark has closed."""
+    events = v.table(spark, sf, "events")
+    arrived = fresh_path(spark, "arrived-in-time")
+    # Files arrive one after the other, as time goes on.
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    for k in range(6):
+        low, high = (ends["low"] + (ends["high"] - ends["low"]) * q / 6 for q in (k, k + 1))
+        here = (F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) | F.lit(k == 5))
+        events.where(here).coalesce(1).write.mode("append").parquet(arrived)
+    incoming = monitor.read_review_stream(spark, arrived, events.schema, files_per_trigger=1).select(
+        F.col("event_id").alias("review_id"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
+        F.col("event_type").alias("platform"),
+        label_rating((1 + F.col("event_id") % 5).cast("double")).alias("negative_experience"),
+    )
+    out = fresh_path(spark, "changes")
+    live = CHANGE.stream(incoming)
+    monitor.watch(live, out, fresh_path(spark, "changes-stream"), once=True).awaitTermination()
+    stored = monitor.drain_to_table(incoming, fresh_path(spark, "reviews"), fresh_path(spark, "stream"))
+    found = spark.read.schema(live.schema).parquet(out).select("platform", "day", F.col("score").alias("live"))
+    days = CHANGE.batch(stored).join(found, ["platform", "day"], "left")
+    differs = F.coalesce(F.col("live") != F.col("score"), F.lit(False)).alias("live_differs")
+    return days.select(
+        "platform", as_text(F.col("day")).alias("day"), "n", "negative", "score", "alert", "started", differs
+    )
+
+
+def change_sql(shares: str, with_) -> dict[str, str]:
+    return {
+        "stream_changes": with_(
+            shares,
+            "steps AS (SELECT *, 1000 * negative - 490 * n AS step, lag(w) OVER (PARTITION BY platform ORDER BY w) AS before FROM shares)",
+            """parts AS (SELECT *, sum((date_diff('day', before, w) > 3)::INT) OVER (PARTITION BY platform ORDER BY w) AS part FROM steps)""",
+            "sums AS (SELECT *, sum(step) OVER (PARTITION BY platform, coalesce(part, 0) ORDER BY w) AS total FROM parts)",
+            """scores AS (SELECT *, total - least(0, min(total) OVER (PARTITION BY platform, coalesce(part, 0) ORDER BY w)) AS score FROM sums)""",
+        )
+        + """SELECT platform, strftime(w, '%Y-%m-%d %H:%M:%S') AS day, n, negative, score::BIGINT AS score, score > 4000 AS alert,
+  score > 4000 AND NOT coalesce(lag(score > 4000) OVER (PARTITION BY platform, coalesce(part, 0) ORDER BY w), false) AS started,
+  false AS live_differs FROM scores"""
+    }
 
 
 # ---- fitted models ------------------------------------------------------------------
