@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gripelens.checks import views as v
-from gripelens.checks.registry import _modelled, as_text, query, rounded
+from gripelens.checks.registry import _modelled, as_text, keep_ids, query, rounded
 from gripelens.functions.labels import label_rating
 from gripelens.functions.text import TEXT_FEATURES
-from gripelens.operators import phrases, sampling
+from gripelens.operators import distances, phrases, quality, sampling, sentiment
 from gripelens.operators.grouped_fit import INTERCEPT, fit_groups
 from gripelens.operators.phrases import PhraseBook
 from gripelens.plans import platform_model
@@ -19,6 +19,63 @@ from gripelens.sources import tables
 from gripelens.streaming import monitor
 from gripelens.streaming.changes import ChangeDetector
 
+# ---- distances and curves -----------------------------------------------------------------
+
+
+@query
+def platform_distances(spark, sf):
+    docs = v.review_texts(spark, sf, spread=True).select("review_id", "platform", "text")
+    scored = sentiment.with_sentiment(docs, v.lexicon(spark))
+    return rounded(distances.platform_distances(scored, "sentiment_polarity"))
+
+
+def _scored_outcomes(spark, sf):
+    """Polarity as a score of the outcome: the lower, the more negative."""
+    docs, outcomes = v.review_texts(spark, sf, spread=True).select("review_id", "text"), v.outcomes(spark, sf)
+    scored = sentiment.with_sentiment(keep_ids(docs, outcomes), v.lexicon(spark)).join(outcomes, "review_id")
+    return scored.withColumn("score", -F.col("sentiment_polarity"))
+
+
+@query
+def roc_curve(spark, sf):
+    return rounded(quality.curve(_scored_outcomes(spark, sf), "score"))
+
+
+@query
+def curve_areas(spark, sf):
+    return rounded(quality.areas(quality.curve(_scored_outcomes(spark, sf), "score")))
+
+
+def distance_sql(docs: str, lexicon: str, outcomes: str, mood: str, with_) -> dict[str, str]:
+    steps = """steps AS (
+  SELECT 0.0 - sentiment_polarity AS score, count(*) FILTER (WHERE negative_experience = 1) AS positives,
+         count(*) FILTER (WHERE negative_experience = 0) AS negatives
+  FROM mood JOIN outcomes USING (review_id) GROUP BY 1),
+points AS (SELECT *, sum(positives) OVER (ORDER BY score DESC)::BIGINT AS true_positives,
+           sum(negatives) OVER (ORDER BY score DESC)::BIGINT AS false_positives FROM steps)"""
+    return {
+        "platform_distances": with_(
+            docs, lexicon, mood,
+            "scored AS (SELECT platform, sentiment_polarity AS x FROM docs JOIN mood USING (review_id) WHERE platform IS NOT NULL)",
+            "sizes AS (SELECT platform, count(*) AS n FROM scored GROUP BY platform)",
+            """grid AS (SELECT x, platform, sizes.n, coalesce(k, 0) AS k FROM (SELECT DISTINCT x FROM scored) CROSS JOIN sizes
+  LEFT JOIN (SELECT platform, x, count(*) AS k FROM scored GROUP BY ALL) USING (platform, x))""",
+            """grown AS (SELECT *, sum(k) OVER (PARTITION BY platform ORDER BY x)::DOUBLE / n AS f,
+  lead(x) OVER (PARTITION BY platform ORDER BY x) - x AS width FROM grid)""",
+        )
+        + """SELECT a.platform AS platform_a, b.platform AS platform_b, max(a.n) AS n_a, max(b.n) AS n_b,
+  round(max(abs(a.f - b.f)), 6) AS ks, round(coalesce(sum(abs(a.f - b.f) * a.width), 0.0), 6) AS wasserstein
+FROM grown a JOIN grown b ON a.x = b.x AND a.platform < b.platform GROUP BY ALL""",
+        "roc_curve": with_(docs, lexicon, outcomes, mood, steps)
+        + "SELECT round(score, 6) AS score, positives, negatives, true_positives, false_positives FROM points",
+        "curve_areas": with_(docs, lexicon, outcomes, mood, steps)
+        + """SELECT sum(positives)::BIGINT AS positives, sum(negatives)::BIGINT AS negatives,
+  round(sum(negatives * (2 * true_positives - positives))::DOUBLE / (2.0 * sum(positives) * sum(negatives)), 6)::DOUBLE AS roc_auc,
+  round(sum(positives * true_positives::DOUBLE / (true_positives + false_positives)) / sum(positives), 6) AS average_precision
+FROM points""",
+    }
+
+
 # ---- phrases --------------------------------------------------------------------------
 
 # Runs of words that occur in the invented texts, besides the single words.

@@ -524,3 +524,4 @@ ORACLES["create_steam"] = _with(
   SELECT *, row_number() OVER (ORDER BY md5('33:' || platform), md5('33:' || content)) AS rn FROM keyed) WHERE rn <= 70"""
 ORACLES |= more.model_sql((DOCS, META, OUTCOMES, _with, _split))
 ORACLES |= more.phrase_sql(DOCS, LEXICON, _tokens, _with) | more.change_sql(SHARES, _with)
+ORACLES |= more.distance_sql(DOCS, LEXICON, OUTCOMES, _sentiment("docs"), _with)
