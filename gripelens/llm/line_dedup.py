@@ -254,9 +254,12 @@ class LineDedup:
         out = lookup_join(keep.withColumn("_removed_from", F.col("doc_id")), removed, "_removed_from", "left")
         parts = F.split(text_col, "\n")
         breaks = F.octet_length(text_col) - F.octet_length(F.replace(F.col(text_col), F.lit("\n"), F.lit("")))
-        # by a set of numbers, so that the work is linear in the lines of a text
+        # By a set of numbers, so that the work is linear in the lines of a text. The parts are the
+        # field of an outer function's argument, or they would be cut anew for each line.
         kept = F.array_except(F.sequence(F.lit(0), breaks), "_removed")
-        left = F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n")
+        both = F.array(F.struct(parts.alias("parts"), kept.alias("kept")))
+        joined = F.transform(both, lambda b: F.array_join(F.transform(b["kept"], lambda i: F.get(b["parts"], i)), "\n"))
+        left = F.get(joined, F.lit(0))
         text = F.when(F.col("_removed").isNull(), F.col(text_col)).otherwise(left)
         return out.select(
             *[text.alias(c) if c == text_col else F.col(c) for c in keep.columns],
