@@ -9,12 +9,12 @@ from gripelens.checks import views as v
 from gripelens.checks.registry import _modelled, as_text, keep_ids, query, rounded
 from gripelens.functions.labels import label_rating
 from gripelens.functions.text import TEXT_FEATURES
-from gripelens.operators import distances, phrases, quality, sampling, sentiment
+from gripelens.operators import bootstrap, distances, phrases, quality, sampling, sentiment, summaries
 from gripelens.operators.grouped_fit import INTERCEPT, fit_groups
 from gripelens.operators.phrases import PhraseBook
 from gripelens.plans import platform_model
 from gripelens.plans.presets import PRESETS
-from gripelens.runtime import fresh_path
+from gripelens.runtime import fresh_path, materialise
 from gripelens.sources import tables
 from gripelens.streaming import monitor
 from gripelens.streaming.changes import ChangeDetector
@@ -76,6 +76,59 @@ FROM points""",
     }
 
 
+# ---- growing summaries ----------------------------------------------------------------------
+
+_ASKED = (0.01, 0.5, 0.99)
+
+
+@query
+def growing_quantiles(spark, sf):
+    """Summaries stored day by day, merged per platform, and refined to exact quantiles."""
+    dated = v.review_metadata(spark, sf).select("review_id", F.to_date("event_ts").alias("day"))
+    docs = v.review_texts(spark, sf, spread=True).select("review_id", "platform", "text")
+    scored = materialise(sentiment.with_sentiment(docs, v.lexicon(spark)).join(dated, "review_id"), "dated-polarity")
+    days = summaries.summarise(scored, ["platform"], "sentiment_polarity")
+    stored = materialise(days, "day-summaries", partition_by="day")
+    merged = summaries.merge(stored, ["platform"])
+    return rounded(summaries.refine(scored, merged, ["platform"], "sentiment_polarity", _ASKED))
+
+
+def summary_sql(docs: str, meta: str, lexicon: str, mood: str, with_) -> dict[str, str]:
+    asked = ", ".join(f"({p}::DOUBLE)" for p in _ASKED)
+    picks = " ".join(f"WHEN {p} THEN quantile_cont(sentiment_polarity, {p})" for p in _ASKED)
+    return {
+        "growing_quantiles": with_(docs, meta, lexicon, mood)
+        + f"""SELECT platform, p, count(*) AS rows, round(CASE p {picks} END, 6) AS quantile
+FROM docs JOIN mood USING (review_id) JOIN meta USING (review_id), (VALUES {asked}) AS asked(p) GROUP BY platform, p"""
+    }
+
+
+# ---- uncertainty -------------------------------------------------------------------------------
+
+
+@query
+def bootstrap_polarity(spark, sf):
+    docs = v.review_texts(spark, sf, spread=True).select("review_id", "platform", "text")
+    scored = sentiment.with_sentiment(docs, v.lexicon(spark))
+    return rounded(bootstrap.bootstrap_means(scored, ["platform"], "sentiment_polarity"))
+
+
+def bootstrap_sql(docs: str, lexicon: str, mood: str, with_) -> dict[str, str]:
+    digest = "substr(md5('33:' || (r // 8)::VARCHAR || ':' || review_id::VARCHAR), 1 + 4 * (r % 8), 4)"
+    steps = " + ".join(f"(u >= {s})::BIGINT" for s in bootstrap.POISSON_STEPS)
+    return {
+        "bootstrap_polarity": with_(
+            docs, lexicon, mood,
+            "scored AS (SELECT review_id, platform, round(sentiment_polarity * 1000000)::BIGINT AS m FROM docs JOIN mood USING (review_id))",
+            f"drawn AS (SELECT platform, r, m, ('0x' || {digest})::INT AS u FROM scored, range({bootstrap.REPLICATES}) AS t(r))",
+            f"means AS (SELECT platform, r, sum(({steps}) * m)::DOUBLE / nullif(sum({steps}), 0) / 1000000 AS mean FROM drawn GROUP BY ALL)",
+            "ends AS (SELECT platform, quantile_cont(mean, 0.025) AS low, quantile_cont(mean, 0.975) AS high FROM means GROUP BY platform)",
+        )
+        + """SELECT platform, count(*) AS n, round(sum(m)::DOUBLE / count(*) / 1000000, 6) AS mean,
+  round(max(low), 6) AS low, round(max(high), 6) AS high FROM scored JOIN ends USING (platform) GROUP BY platform"""
+    }
+
+
 # ---- phrases --------------------------------------------------------------------------
 
 # Runs of words that occur in the invented texts, besides the single words.

@@ -525,3 +525,5 @@ ORACLES["create_steam"] = _with(
 ORACLES |= more.model_sql((DOCS, META, OUTCOMES, _with, _split))
 ORACLES |= more.phrase_sql(DOCS, LEXICON, _tokens, _with) | more.change_sql(SHARES, _with)
 ORACLES |= more.distance_sql(DOCS, LEXICON, OUTCOMES, _sentiment("docs"), _with)
+ORACLES |= more.summary_sql(DOCS, META, LEXICON, _sentiment("docs"), _with)
+ORACLES |= more.bootstrap_sql(DOCS, LEXICON, _sentiment("docs"), _with)
