@@ -164,9 +164,10 @@ def phrase_sql(docs: str, lexicon: str, tokens, with_) -> dict[str, str]:
 
     rows = [*PHRASES, *[(t, None, p, s) for t, p, s in v.LEXICON_ROWS]]
     listed = ", ".join(f"({', '.join(show(x) for x in r)}, {len(r[0].split())})" for r in rows)
-    factor = "(SELECT factor FROM modifiers m WHERE m.kind = '{}' AND m.term = t[i{}])"
-    boost = f"coalesce({factor.format('intensify', '')}, 1.0)::DOUBLE"
-    flip = f"coalesce({factor.format('negate', '')}, {factor.format('negate', ' - 1')}, 1.0)::DOUBLE"
+    # A list index below 1 counts from the end here, so the start of a text has to be told apart.
+    factor = "(SELECT factor FROM modifiers m WHERE m.kind = '{}' AND m.term = CASE WHEN i{} > 0 THEN t[i{}] END)"
+    boost = f"coalesce({factor.format('intensify', '', '')}, 1.0)::DOUBLE"
+    flip = f"coalesce({factor.format('negate', '', '')}, {factor.format('negate', ' - 1', ' - 1')}, 1.0)::DOUBLE"
     taken = (
         "{'e': x.e + x.w, 'w': 0::BIGINT, 'n': a.n + 1, 'k1': a.k1 + x.k1, 'k2': a.k2 + x.k2, "
         "'u': a.u + x.u, 'p': a.p + x.p, 's': a.s + x.s}"
