@@ -94,7 +94,7 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
 def value_bytes(value: Column, kind: DataType) -> Column:
     """Size of a value: eight bytes for numbers, lengths of texts, all elements of nested types."""
     if isinstance(kind, (StringType, BinaryType)):
-        size = F.octet_length(value) + 16
+        size = F.coalesce(F.octet_length(value), F.lit(0)) + 16
     elif isinstance(kind, StructType):
         size = sum((value_bytes(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
     elif isinstance(kind, MapType):
