@@ -9,7 +9,7 @@ from gripelens.checks import views as v
 from gripelens.checks.registry import _modelled, as_text, keep_ids, query, rounded
 from gripelens.functions.labels import label_rating
 from gripelens.functions.text import TEXT_FEATURES
-from gripelens.operators import bootstrap, distances, phrases, quality, sampling, sentiment, summaries
+from gripelens.operators import bootstrap, distances, growing_sample, phrases, quality, sampling, sentiment, summaries
 from gripelens.operators.grouped_fit import INTERCEPT, fit_groups
 from gripelens.operators.phrases import PhraseBook
 from gripelens.plans import platform_model
@@ -129,6 +129,29 @@ def bootstrap_sql(docs: str, lexicon: str, mood: str, with_) -> dict[str, str]:
     }
 
 
+# ---- growing samples ----------------------------------------------------------------------------
+
+
+@query
+def growing_sample_by_platform(spark, sf):
+    """Documents arrive in four parts; the kept sample is added to after each."""
+    docs = v.review_texts(spark, sf).select("review_id", "platform", "rating")
+    kept = growing_sample.lowest(docs.where("review_id % 4 = 0"), "platform", "review_id", 7)
+    for part in (1, 2, 3):
+        stored = materialise(kept, "kept-sample")
+        kept = growing_sample.add(stored, docs.where(f"review_id % 4 = {part}"), "platform", "review_id", 7)
+    return kept
+
+
+def sample_sql(docs: str, with_) -> dict[str, str]:
+    return {
+        "growing_sample_by_platform": with_(docs)
+        + """SELECT review_id, platform, rating FROM (
+  SELECT *, row_number() OVER (PARTITION BY platform ORDER BY md5('33:' || review_id::VARCHAR)) AS rn FROM docs
+  WHERE platform IS NOT NULL) WHERE rn <= 7"""
+    }
+
+
 # ---- phrases --------------------------------------------------------------------------
 
 # Runs of words that occur in the invented texts, besides the single words.
