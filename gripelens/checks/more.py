@@ -9,7 +9,7 @@ from gripelens.checks import views as v
 from gripelens.checks.registry import _modelled, as_text, keep_ids, query, rounded
 from gripelens.functions.labels import label_rating
 from gripelens.functions.text import TEXT_FEATURES
-from gripelens.operators import bootstrap, distances, growing_sample, phrases, quality, sampling, sentiment, summaries
+from gripelens.operators import bootstrap, breaks, distances, growing_sample, phrases, quality, sampling, sentiment, summaries
 from gripelens.operators.grouped_fit import INTERCEPT, fit_groups
 from gripelens.operators.phrases import PhraseBook
 from gripelens.plans import platform_model
@@ -273,6 +273,67 @@ def change_sql(shares: str, with_) -> dict[str, str]:
     }
 
 
+# ---- breaks in trends -----------------------------------------------------------------
+
+BREAK_STRENGTH, BREAK_DAYS = 0.4, 2
+
+
+@query
+def trend_breaks(spark, sf):
+    """Segments of the daily star rating of incoming reviews; the event type is the platform."""
+    dated = v.table(spark, sf, "events").select(
+        F.col("event_type").alias("platform"),
+        F.col("ts").cast("timestamp").alias("event_ts"),
+        (1 + F.col("event_id") % 5).cast("double").alias("rating"),
+    )
+    found = breaks.trend_breaks(dated, "rating", strength=BREAK_STRENGTH, min_days=BREAK_DAYS)
+    days = {c: F.col(c).cast("string") for c in ("first_day", "last_day")}
+    return rounded(found.withColumns(days))
+
+
+def break_sql(with_) -> dict[str, str]:
+    """All divisions by a table of best costs that grows by one day a step, without dropping starts."""
+    m = BREAK_DAYS
+    steps = with_(
+        """sums AS (SELECT event_type AS platform, ts::DATE AS day, count(*) AS n, sum(1000000 * (1 + event_id % 5))::BIGINT AS total
+  FROM events GROUP BY ALL)""",
+        """calendar AS (SELECT platform, unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day FROM sums GROUP BY platform)""",
+        """filled AS (SELECT c.platform, c.day, coalesce(n, 0) AS n, coalesce(total, 0) AS total, coalesce(total / n / 1000000, 0) AS x
+  FROM calendar c LEFT JOIN sums s ON c.day = s.day AND c.platform IS NOT DISTINCT FROM s.platform)""",
+        """noise AS (SELECT platform, avg(pow(x - x0, 2) / (1 / n + 1 / n0)) AS noise FROM (
+    SELECT *, lag(x) OVER near AS x0, lag(n) OVER near AS n0 FROM filled WHERE n > 0 WINDOW near AS (PARTITION BY platform ORDER BY day))
+  GROUP BY platform)""",
+        """added AS (SELECT *, sum(n) OVER upto AS w, sum(n * x) OVER upto AS l, sum(n * x * x) OVER upto AS q
+  FROM filled WINDOW upto AS (PARTITION BY platform ORDER BY day))""",
+        f"""series AS (SELECT a.platform, min(day) AS low, count(*)::INT AS days, list(n ORDER BY day) AS ns,
+    list(total ORDER BY day) AS totals, [0.0::DOUBLE] || list(w::DOUBLE ORDER BY day) AS w,
+    [0.0::DOUBLE] || list(l::DOUBLE ORDER BY day) AS l, [0.0::DOUBLE] || list(q::DOUBLE ORDER BY day) AS q,
+    {BREAK_STRENGTH} * coalesce(any_value(noise), 0) * ln(greatest(count(*), 2)) AS penalty, 1e-9 * greatest(max(q), 1) AS tie
+  FROM added a JOIN noise z ON a.platform IS NOT DISTINCT FROM z.platform GROUP BY a.platform)""",
+        f"""costs AS (
+  SELECT platform, {m - 1} AS t, [0.0 - penalty] || list_transform(range({m - 1}), lambda i: 'inf'::DOUBLE) AS best,
+         list_transform(range({m}), lambda i: 0::BIGINT) AS before, series AS z FROM series
+  UNION ALL
+  SELECT platform, t + 1, best || [list_min(cs)], before || [starts[list_position(list_transform(cs, lambda c: c <= list_min(cs) + z.tie), true)]], z
+  FROM (SELECT *, list_transform(starts, lambda s: best[s + 1] + z.penalty + z.q[t + 2] - z.q[s + 1]
+                                 - pow(z.l[t + 2] - z.l[s + 1], 2) / (z.w[t + 2] - z.w[s + 1])) AS cs
+    FROM (SELECT *, list_filter(range(t + 2 - {m}), lambda s: s = 0 OR (z.ns[s + 1] > 0 AND isfinite(best[s + 1]))) AS starts
+      FROM costs WHERE t < z.days)))""",
+        f"""ends AS (SELECT * FROM costs WHERE t = greatest(z.days, {m - 1}))""",
+        f"""segments AS (
+  SELECT platform, z.days::BIGINT AS stop, CASE WHEN z.days >= {m} THEN before[z.days + 1] ELSE 0 END AS start, before, z FROM ends
+  UNION ALL SELECT platform, start, before[start + 1], before, z FROM segments WHERE start > 0)""",
+        """levels AS (SELECT *, list_sum(ns) AS n, list_sum(totals) / list_sum(ns) / 1000000 AS level FROM (
+    SELECT *, z.ns[start + 1:stop] AS ns, z.totals[start + 1:stop] AS totals FROM segments))""",
+    )
+    return {
+        "trend_breaks": steps.replace("WITH", "WITH RECURSIVE", 1)
+        + """SELECT platform, row_number() OVER own::INT AS segment, (z.low + start::INT)::VARCHAR AS first_day,
+  (z.low + stop::INT - 1)::VARCHAR AS last_day, stop - start AS days, n::BIGINT AS n, round(level, 6) AS level,
+  round(level - lag(level) OVER own, 6) AS shift FROM levels WINDOW own AS (PARTITION BY platform ORDER BY start)"""
+    }
+
+
 # ---- fitted models ------------------------------------------------------------------
 
 

@@ -528,3 +528,4 @@ ORACLES |= more.distance_sql(DOCS, LEXICON, OUTCOMES, _sentiment("docs"), _with)
 ORACLES |= more.summary_sql(DOCS, META, LEXICON, _sentiment("docs"), _with)
 ORACLES |= more.bootstrap_sql(DOCS, LEXICON, _sentiment("docs"), _with)
 ORACLES |= more.sample_sql(DOCS, _with)
+ORACLES |= more.break_sql(_with)
