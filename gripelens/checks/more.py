@@ -3,6 +3,8 @@ each beside its SQL."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from gripelens.checks import views as v
@@ -13,7 +15,9 @@ from gripelens.operators import bootstrap, breaks, distances, growing_sample, ph
 from gripelens.operators.grouped_fit import INTERCEPT, fit_groups
 from gripelens.operators.phrases import PhraseBook
 from gripelens.plans import platform_model
+from gripelens.plans.features import text_features
 from gripelens.plans.presets import PRESETS
+from gripelens.plans.refresh import FeatureStore
 from gripelens.runtime import fresh_path, materialise
 from gripelens.sources import tables
 from gripelens.streaming import monitor
@@ -273,6 +277,47 @@ def change_sql(shares: str, with_) -> dict[str, str]:
     }
 
 
+# ---- tables kept up to date ---------------------------------------------------------------
+
+
+def _refreshed(spark, sf):
+    """A store filled with an older state of the documents, then brought up to the present one."""
+    docs = v.review_texts(spark, sf, spread=True).select("review_id", "platform", "text")
+    store = FeatureStore(
+        fresh_path(spark, "store"), partial(text_features, lexicon=v.lexicon(spark)), partition_col="platform", buckets=2
+    )
+    here, blank = F.col("review_id") % 7 != 0, F.col("review_id") % 11 == 0
+    older = docs.where(here).withColumn("text", F.when(~blank, F.col("text")))
+    gone = docs.where(F.col("review_id") % 13 == 0).withColumn("review_id", -1 - F.col("review_id"))
+    store.refresh(older.unionByName(gone))
+    return store, store.refresh(docs)
+
+
+@query
+def refreshed_features(spark, sf):
+    return rounded(_refreshed(spark, sf)[0].read(spark))
+
+
+@query
+def refresh_counts(spark, sf):
+    done = _refreshed(spark, sf)[1]
+    names = ("added", "changed", "removed", "unchanged", "scored")
+    return spark.createDataFrame([tuple(getattr(done, c) for c in names)], ", ".join(f"{c} bigint" for c in names))
+
+
+def refresh_sql(docs: str, features: str, with_) -> dict[str, str]:
+    return {
+        "refreshed_features": features,
+        "refresh_counts": with_(
+            docs,
+            """states AS (SELECT review_id % 7 = 0 AS added, review_id % 7 <> 0 AND review_id % 11 = 0 AND text IS NOT NULL AS changed,
+  review_id % 13 = 0 AS removed FROM docs)""",
+        )
+        + """SELECT count(*) FILTER (WHERE added) AS added, count(*) FILTER (WHERE changed) AS changed, count(*) FILTER (WHERE removed) AS removed,
+  count(*) FILTER (WHERE NOT added AND NOT changed) AS unchanged, count(*) FILTER (WHERE added OR changed) AS scored FROM states""",
+    }
+
+
 # ---- breaks in trends -----------------------------------------------------------------
 
 BREAK_STRENGTH, BREAK_DAYS = 0.4, 2

@@ -529,3 +529,4 @@ ORACLES |= more.summary_sql(DOCS, META, LEXICON, _sentiment("docs"), _with)
 ORACLES |= more.bootstrap_sql(DOCS, LEXICON, _sentiment("docs"), _with)
 ORACLES |= more.sample_sql(DOCS, _with)
 ORACLES |= more.break_sql(_with)
+ORACLES |= more.refresh_sql(DOCS, ORACLES["features_roundtrip"], _with)
