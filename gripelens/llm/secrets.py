@@ -43,6 +43,8 @@ SAMPLE_ROWS = 50_000
 # Noncharacters: no pattern matches them. A text that holds the first gets the second.
 _MARK, _STAND_IN = "￿", "￾"
 _CODES = 128
+# Elements of an array that are summed one by one.
+_BLOCK = 64
 
 
 def _set_off(text: Column, pattern: str) -> Column:
@@ -50,25 +52,80 @@ def _set_off(text: Column, pattern: str) -> Column:
     return F.split(F.regexp_replace(text, f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside a lambda function an expression from
+    outside is computed again for every element, a variable is not."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, levels: int = 2) -> Column:
+    """Sums of the values before each value. Arrays grow by copying, so that a plain running sum is
+    quadratic: sums run within blocks, and the sums before each block are found in the same way."""
+
+    def plain(numbers: Column) -> Column:
+        zero = F.array(F.lit(0))
+        return F.aggregate(numbers, zero, lambda sums, x: F.concat(sums, F.array(F.element_at(sums, -1) + x)))
+
+    def within(numbers: Column) -> Column:
+        first = F.sequence(F.lit(1), F.greatest(F.size(numbers), F.lit(1)), F.lit(_BLOCK))
+        blocks = F.transform(first, lambda i: plain(F.slice(numbers, i, F.lit(_BLOCK))))
+        return _let(blocks, joined)
+
+    def joined(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda sums: F.element_at(sums, -1))
+        before = _running(totals, levels - 1) if levels > 1 else plain(totals)
+
+        def shifted(offsets: Column) -> Column:
+            def move(sums: Column, i: Column) -> Column:
+                return F.transform(F.slice(sums, F.lit(1), F.size(sums) - 1), lambda x: x + offsets[i])
+
+            return F.flatten(F.transform(blocks, move))
+
+        return _let(before, shifted)
+
+    return _let(values, within)
+
+
 def _matches(text: Column, pattern: str, keep) -> Column:
     """array<struct<start, end, value>> of the matches for which ``keep(value)`` holds."""
-    empty = F.struct(
-        F.lit(0).alias("at"),
-        F.lit(False).alias("inside"),
-        F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"),
+
+    def placed(parts: Column) -> Column:
+        def spans(starts: Column) -> Column:
+            return F.transform(
+                parts,
+                lambda part, i: F.struct(
+                    starts[i].alias("start"), (starts[i] + F.length(part)).alias("end"), part.alias("value")
+                ),
+            )
+
+        return _let(_running(F.transform(parts, F.length)), spans)
+
+    spans = _let(_set_off(text, pattern), placed)
+    return F.filter(spans, lambda m, i: (i % 2 == 1) & keep(m["value"]))
+
+
+def _points_before(points: Column, places: Column, at_place: bool) -> Column:
+    """How many points lie before each of the ascending places; those at the place itself count if ``at_place``."""
+    marks = F.concat(
+        F.transform(points, lambda x: F.struct(x.alias("at"), F.lit(int(not at_place)).alias("turn"), F.lit(-1).alias("k"))),
+        F.transform(places, lambda x, k: F.struct(x.alias("at"), F.lit(int(at_place)).alias("turn"), k.alias("k"))),
     )
+    counted = F.transform(F.array_sort(marks), lambda m, i: F.when(m["k"] >= 0, i - m["k"]))
+    return F.filter(counted, lambda n: n.isNotNull())
 
-    def step(state: Column, part: Column) -> Column:
-        stop = state["at"] + F.length(part)
-        one = F.struct(state["at"].alias("start"), stop.alias("end"), part.alias("value"))
-        found = F.when(state["inside"] & keep(part), F.concat(state["found"], F.array(one)))
-        return F.struct(
-            stop.alias("at"),
-            (~state["inside"]).alias("inside"),
-            found.otherwise(state["found"]).alias("found"),
-        )
 
-    return F.aggregate(_set_off(text, pattern), empty, step, lambda state: state["found"])
+def _apart(runs: Column, base: Column) -> Column:
+    """Runs that overlap no base find. The finds that begin before a run's end, less those that end
+    before its start, are those it overlaps."""
+
+    def side(spans: Column, name: str) -> Column:
+        return F.transform(spans, lambda m: m[name])
+
+    begun = _points_before(side(base, "start"), side(runs, "end"), False)
+    ended = _points_before(side(base, "end"), side(runs, "start"), True)
+    overlaps = F.zip_with(begun, ended, lambda x, y: x - y)
+    free = _let(overlaps, lambda n: F.filter(runs, lambda r, i: n[i] == 0))
+    return F.when((F.size(runs) == 0) | (F.size(base) == 0), runs).otherwise(free)
 
 
 def _when_found(text: Column, pattern: str, matches: Column) -> Column:
@@ -103,15 +160,19 @@ def base_finds(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _pairs(value: Column) -> Column:
-    """Codes of adjacent characters; characters outside ASCII do not occur in runs."""
+    """Codes of adjacent characters; characters outside ASCII do not occur in runs. Bytes are
+    reached at once, characters of a string only from its start."""
 
-    def code(i: Column) -> Column:
-        return F.ascii(F.substring(value, i, F.lit(1)))
+    def codes(raw: Column) -> Column:
+        def code(i: Column) -> Column:
+            return F.ascii(F.substring(raw, i, F.lit(1)).cast("string"))
 
-    places = F.when(F.length(value) > 1, F.sequence(F.lit(1), F.length(value) - 1))
-    return F.transform(
-        F.coalesce(places, F.array().cast("array<int>")), lambda i: code(i) * _CODES + code(i + 1)
-    )
+        places = F.when(F.length(raw) > 1, F.sequence(F.lit(1), F.length(raw) - 1))
+        return F.transform(
+            F.coalesce(places, F.array().cast("array<int>")), lambda i: code(i) * _CODES + code(i + 1)
+        )
+
+    return _let(value.cast("binary"), codes)
 
 
 def samples(df: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -175,10 +236,7 @@ def scan(df: DataFrame, ratios: list[float], text_col: str = "text", threshold:
     base = F.concat("_assign", "_access", "_hex")
     runs = _when_found(text, RUN, _matches(text, RUN, lambda v: F.length(v) >= RUN_MIN))
     found = found.withColumn("_base", base).withColumn("_runs", runs)
-    free = F.filter(
-        "_runs", lambda r: ~F.exists("_base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"]))
-    )
-    found = found.withColumn("_free", free)
+    found = found.withColumn("_free", _apart(F.col("_runs"), F.col("_base")))
     found = found.withColumn("_random", F.filter("_free", lambda r: _mean_ratio(r["value"], ratios) >= threshold))
 
     def ordered(n: int, kind: str) -> Column:
