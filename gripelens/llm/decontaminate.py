@@ -15,14 +15,15 @@
 6. A candidate is confirmed on the words themselves: the longest common subsequence of
    item and passage (with its surroundings) must hold LCS_SHARE of the item. For rewordings
    PARAPHRASE_SHARE will do if the answer, the item's last sentence, is there as well: all
-   of its words, in order.
+   of its words, in order. Items of fewer than SHORT words are ordinary phrases unless they
+   are there word for word: all of their words in one piece.
 
 The benchmark is taken in blocks of ITEMS, each a pass over the word numbers, so that
-vocabulary and matrices are bounded whatever its size. Passages cover whole texts.
+vocabulary and matrices are bounded whatever its size; items of equal text are searched for
+once. Passages cover whole texts, and very long ones are compared STRETCH half-windows at a time.
 
-Rows: null or empty texts match nothing, nor do items with fewer than MIN_WORDS words (they
-are ordinary phrases). Repeated items and documents each get their rows. An empty
-benchmark gives no rows.
+Rows: null or empty texts match nothing, nor do items without words. Repeated items and
+documents each get their rows. An empty benchmark gives no rows.
 """
 
 from __future__ import annotations
@@ -43,14 +44,15 @@ from gripelens.runtime import materialise
 HALF = 32
 RANK, SPARE = 128, 16
 ITEMS = 512
-MIN_WORDS = 8
+SHORT = 8
+STRETCH = 4_096
 CHUNK_WORDS = 200_000  # words whose numbers a task turns into passages at a time
 # Words of more than one in COMMON passages do not tell passages apart and weigh nothing (in a
 # corpus of fewer than COMMON^2 passages: of more than the root of their number).
 COMMON, KEPT = 50, 8
 COSINE_SHARE = 0.6
 LCS_SHARE, PARAPHRASE_SHARE = 0.75, 0.5
-_FOUND = "doc_id bigint, item_id bigint, lcs int, item_words int, start int, stop int, answered boolean"
+_FOUND = "doc_id bigint, item string, lcs int, item_words int, start int, stop int, answered boolean"
 # ASCII marks and controls separate words; other bytes belong to them.
 _BLANKED = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
@@ -74,22 +76,30 @@ def lcs(item: list[int] | np.ndarray, other: list[int] | np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
+def in_one_piece(item: np.ndarray, other: np.ndarray) -> bool:
+    """Does ``other`` hold the words of ``item`` next to each other?"""
+    at = np.flatnonzero(other[: max(len(other) - len(item) + 1, 0)] == item[0])
+    for k in range(1, len(item)):
+        at = at[other[at + k] == item[k]]
+    return bool(len(at))
+
+
 @dataclass(frozen=True)
 class Items:
-    """A block of the benchmark in vocabulary numbers."""
+    """A block of the benchmark in vocabulary numbers; ``ids`` are digests of the texts."""
 
-    ids: list[int]
+    ids: list[str]
     words: list[np.ndarray]
     answers: list[np.ndarray]
     vocabulary: dict[bytes, int]
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]]) -> Items:
+    def of(cls, rows: list[tuple[str, str]]) -> Items:
         vocabulary: dict[bytes, int] = {}
         ids, words, answers = [], [], []
         for item, text in rows:
             found = text_words(text)
-            if len(found) < MIN_WORDS:
+            if not found:
                 continue
             ids.append(item)
             words.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in found], np.int32))
@@ -261,7 +271,9 @@ class Bounds:
             own, times = own[order], times[order]
             m = np.cumsum(times)
             chance = np.cumsum(times * (seen[own] / max(seen[-1], 1)))
-            for table, share in enumerate((LCS_SHARE, PARAPHRASE_SHARE)):
+            if n < SHORT:
+                self.least[1, k] = np.iinfo(np.int32).max  # no paraphrases of short items
+            for table, share in enumerate((1.0,) if n < SHORT else (LCS_SHARE, PARAPHRASE_SHARE)):
                 least = m - (n - int(np.ceil(n * share - 1e-9)))
                 upto = int(np.argmin(np.where(least > 0, (chance + 1e-9) / np.maximum(least, 1), np.inf)))
                 self.least[table, k] = least[upto]
@@ -277,23 +289,33 @@ class Bounds:
             starts = np.searchsorted(rows[:, 0], np.arange(words + 1))
             self.tables.append((starts[:-1], np.diff(starts), rows[:, 1], rows[:, 2]))
 
-    def held(self, lists: pa.Array) -> np.ndarray:
-        """(half-windows x items): may the item match around the passage that begins there?"""
+    def held(self, lists: pa.Array) -> Iterator[np.ndarray]:
+        """(half-windows x items), STRETCH half-windows at a time: may the item match around the passage
+        that begins there? Each stretch sees as many half-windows beyond its ends as items reach."""
         h = _Halves(lists, self.used)
         pairs = np.unique(h.half.astype(np.int64) * len(self.used) + h.words)
         half, word = pairs // len(self.used), pairs % len(self.used)
         low = np.repeat(h.first, h.per_doc)
         high = np.repeat(h.first + h.per_doc, h.per_doc)
-        at = np.arange(h.count)
+        margin = int(self.reach.max()) + 2
+        for start in range(0, h.count, STRETCH):
+            stop = min(start + STRETCH, h.count)
+            begin, end = max(start - margin, 0), min(stop + margin, h.count)
+            mine = slice(*np.searchsorted(half, [begin, end]))
+            bounds = (a[start:stop] - begin for a in (np.maximum(low, begin), np.minimum(high, end)))
+            yield self._stretch(half[mine] - begin, word[mine], end - begin, np.arange(start, stop) - begin, *bounds)
+
+    def _stretch(self, half, word, count: int, at, low, high) -> np.ndarray:
+        """The part of ``held`` for the half-windows ``at`` of ``count``, whose documents lie from low to high."""
         enough = []
         for table, (starts, sizes, item, times) in enumerate(self.tables):
             n = sizes[word]
             posting = np.repeat(starts[word] - np.cumsum(n) + n, n) + np.arange(n.sum())
             cell = np.repeat(half, n) * self.items + item[posting]
-            sums = np.bincount(cell, times[posting], h.count * self.items).astype(np.int32)
-            total = np.zeros((h.count + 1, self.items), np.int32)
-            np.cumsum(sums.reshape(h.count, self.items), axis=0, out=total[1:])
-            ok = np.zeros((h.count, self.items), bool)
+            sums = np.bincount(cell, times[posting], count * self.items).astype(np.int32)
+            total = np.zeros((count + 1, self.items), np.int32)
+            np.cumsum(sums.reshape(count, self.items), axis=0, out=total[1:])
+            ok = np.zeros((len(at), self.items), bool)
             for reach in np.unique(self.reach).tolist():
                 mine = np.flatnonzero(self.reach == reach)
                 part = total[:, mine]
@@ -322,12 +344,16 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
             h = _Halves(batch.column("ids"), weights > 0)
             z = h.windows(h.sums(rows))
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-            near = z @ targets.T
-            window, item = np.nonzero((near >= least) | bounds.held(batch.column("ids")))
+            hits = []
+            for part, held in enumerate(bounds.held(batch.column("ids"))):
+                cosine = z[part * STRETCH : part * STRETCH + len(held)] @ targets.T
+                window, item = np.nonzero((cosine >= least) | held)
+                hits.append((window + part * STRETCH, item, cosine[window, item]))
+            window, item, near = map(np.concatenate, zip(*hits))
             doc = np.searchsorted(h.first, window, side="right") - 1
             best: dict[tuple[int, int], tuple] = {}
             present = np.zeros(len(weights) + 1, bool)  # the last place is for unknown words
-            for w, k, d in zip(window.tolist(), item.tolist(), doc.tolist()):
+            for w, k, d, cosine in zip(window.tolist(), item.tolist(), doc.tolist(), near.tolist()):
                 size = int(h.sizes[d])
                 begin = (w - int(h.first[d])) * HALF
                 extra = len(item_words[k])
@@ -337,19 +363,22 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
                 present[there] = True
                 shared = times[k][present[distinct[k]]].sum()  # at least the common subsequence
                 present[there] = False
-                if shared < PARAPHRASE_SHARE * len(item_words[k]):
+                short = extra < SHORT
+                if shared < (extra if short else PARAPHRASE_SHARE * extra):
+                    continue
+                if short and not in_one_piece(item_words[k], there):
                     continue
                 length = lcs(item_words[k], there)
                 share = length / len(item_words[k])
                 answer = answers[k]
                 answered = bool(len(answer)) and lcs(answer, there) == len(answer)
                 if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and answered:
-                    found = (length, float(near[w, k]), len(item_words[k]), a, b, answered)
+                    found = (length, cosine, len(item_words[k]), a, b, answered)
                     best[d, k] = max(best.get((d, k), found), found)
             names = batch.column("doc_id").to_pylist()
             out = [(names[d], item_ids[k], found[0], *found[2:]) for (d, k), found in sorted(best.items())]
             columns = list(zip(*out)) if out else [[] for _ in range(7)]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
+            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, kinds)], [c.split()[0] for c in _FOUND.split(", ")]
             )
@@ -360,12 +389,16 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, lcs, item_words, start, stop, answered) for every document that holds a
     benchmark item; ``start`` and ``stop`` are word positions around the passage."""
-    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    digest = F.md5(F.col("text").cast("binary")).alias("item")
+    named = benchmark.where(F.col("text").isNotNull()).select(
+        F.col("item_id").cast("bigint").alias("item_id"), "text", digest
+    )
+    items = named.groupBy("item").agg(F.min("text").alias("text"))
     blocks = max(1, -(-items.count() // ITEMS))
     found = None
     for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted((r["item_id"], r["text"]) for r in mine.collect())
+        mine = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
+        rows = sorted((r["item"], r["text"]) for r in mine.collect())
         taken = Items.of(rows)
         if not taken.ids:
             continue
@@ -379,4 +412,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         basis = latent_space(ids, weights, own * weights)
         here = search(ids, taken, weights, basis, seen)
         found = here if found is None else found.unionByName(here)
-    return found if found is not None else docs.sparkSession.createDataFrame([], _FOUND)
+    if found is None:
+        found = docs.sparkSession.createDataFrame([], _FOUND)
+    rest = [c for c in found.columns if c not in ("doc_id", "item")]
+    return found.join(named.select("item", "item_id"), "item").select("doc_id", "item_id", *rest)

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gripelens.llm import decontaminate, html_text, near_dedup, secrets, toxicity
@@ -206,6 +207,54 @@ def test_decontamination_finds_copies_with_changed_rare_words(spark, docs):
     assert got == {61: 40, 62: 34}
 
 
+def matching(text, item):
+    """Brute force: the item against every passage and its surroundings."""
+    there, wanted = decontaminate.text_words(text), decontaminate.text_words(item)
+    n, half = len(wanted), decontaminate.HALF
+    last = [decontaminate.text_words(x) for x in re.split(r"[.!?\n]+", item)]
+    last = [x for x in last if x]
+    number = {w: i for i, w in enumerate(dict.fromkeys(there + wanted))}
+    ids = lambda ws: [number[w] for w in ws]
+    for begin in range(0, max(len(there), 1), half):
+        part = there[max(begin - n, 0) : begin + 2 * half + n]
+        if 0 < n < decontaminate.SHORT:
+            found = any(part[i : i + n] == wanted for i in range(len(part)))
+        else:
+            share = decontaminate.lcs(ids(wanted), ids(part)) / n if n else 0
+            answered = len(last) > 1 and decontaminate.lcs(ids(last[-1]), ids(part)) == len(last[-1])
+            found = share >= decontaminate.LCS_SHARE or share >= decontaminate.PARAPHRASE_SHARE and answered
+        if found:
+            return True
+    return False
+
+
+def test_decontamination_against_all_pairs(spark, docs):
+    rng = random.Random(12)
+    items = [" ".join(words(rng, rng.choice([1, 2, 4, 7, 8, 12, 30, 45]), 150)) for _ in range(40)]
+    items = [i + ". " + " ".join(words(rng, 3, 150)) + "." if rng.random() < 0.5 else i for i in items] + ["", "...", items[0]]
+    texts = []
+    for k in range(80):
+        inner = [w if rng.random() < rng.choice([0.5, 0.8, 1.0]) else "other" for w in rng.choice(items).split()]
+        texts.append(" ".join(words(rng, rng.randrange(150), 150 if k % 4 else 4000) + inner + words(rng, rng.randrange(150), 4000)))
+    texts += [None, "", texts[0]]
+    bench = spark.createDataFrame(list(enumerate(items)) + [(0, items[0]), (99, None)], "item_id bigint, text string")
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.matches(docs(texts), bench).collect())
+    want = [(d, i) for d, t in enumerate(texts, 1) for i, x in [*enumerate(items), (0, items[0])] if matching(t, x)]
+    assert got == sorted(want) and len(want) > 100
+
+
+def test_stretches_of_a_long_text_hold_what_the_whole_holds(monkeypatch):
+    rng = random.Random(13)
+    items = decontaminate.Items.of([(str(k), " ".join(words(rng, rng.choice([3, 20, 70]), 300))) for k in range(30)])
+    lists = pa.array([[rng.randrange(-1, len(items.vocabulary)) for _ in range(n)] for n in (4000, 0, 70, 900)], pa.list_(pa.int32()))
+    bounds = decontaminate.Bounds(items, np.arange(len(items.vocabulary) + 1))
+    whole = np.concatenate(list(bounds.held(lists)))
+    for stretch in (1, 5, 32):
+        monkeypatch.setattr(decontaminate, "STRETCH", stretch)
+        assert np.array_equal(np.concatenate(list(bounds.held(lists))), whole)
+    assert 0 < whole.sum() < whole.size
+
+
 def test_longest_common_subsequence():
     rng = random.Random(1)
     for _ in range(200):
