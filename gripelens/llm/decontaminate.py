@@ -61,19 +61,27 @@ def text_words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_BLANKED).split()
 
 
-def lcs(item: list[int] | np.ndarray, other: list[int] | np.ndarray) -> int:
-    """Length of the longest common subsequence, a machine word of the item at a time."""
+def word_places(item: list[int]) -> dict[int, int]:
+    """The places of every word of the item, as bits."""
     places: dict[int, int] = {}
     for i, w in enumerate(item):
-        places[int(w)] = places.get(int(w), 0) | 1 << i
-    full = (1 << len(item)) - 1
+        places[w] = places.get(w, 0) | 1 << i
+    return places
+
+
+def lcs(places: dict[int, int], other: list[int]) -> int:
+    """Length of the longest common subsequence of an item, given by its ``word_places``, and
+    ``other``: a machine word of the item at a time."""
+    full = 0
+    for bits in places.values():
+        full |= bits
     row = full
     for w in other:
-        hit = places.get(int(w), 0)
+        hit = places.get(w, 0)
         if hit:
             both = row & hit
             row = (row + both | row - both) & full
-    return len(item) - row.bit_count()
+    return full.bit_count() - row.bit_count()
 
 
 def in_one_piece(item: np.ndarray, other: np.ndarray) -> bool:
@@ -338,6 +346,12 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
     distinct, times = zip(*[np.unique(w, return_counts=True) for w in items.words])
     bounds = Bounds(items, seen)
     item_ids, item_words, answers = items.ids, items.words, items.answers
+    item_places = [word_places(w.tolist()) for w in item_words]
+    answer_places = [word_places(w.tolist()) for w in answers]
+    # Words of each item, to leave out all others; the last place is for unknown words.
+    member = np.zeros((len(item_words), len(weights) + 1), bool)
+    for k, words in enumerate(item_words):
+        member[k, words] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ids", CHUNK_WORDS):
@@ -352,7 +366,7 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
             window, item, near = map(np.concatenate, zip(*hits))
             doc = np.searchsorted(h.first, window, side="right") - 1
             best: dict[tuple[int, int], tuple] = {}
-            present = np.zeros(len(weights) + 1, bool)  # the last place is for unknown words
+            present = np.zeros(len(weights) + 1, bool)
             for w, k, d, cosine in zip(window.tolist(), item.tolist(), doc.tolist(), near.tolist()):
                 size = int(h.sizes[d])
                 begin = (w - int(h.first[d])) * HALF
@@ -360,18 +374,19 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
                 a, b = max(begin - extra, 0), min(begin + 2 * HALF + extra, size)
                 base = int(h.starts[d])
                 there = h.flat[base + a : base + b]
-                present[there] = True
-                shared = times[k][present[distinct[k]]].sum()  # at least the common subsequence
-                present[there] = False
+                own = there[member[k].take(there)]
+                present[own] = True
+                shared = min(len(own), times[k][present[distinct[k]]].sum())  # at least the common subsequence
+                answerable = len(answers[k]) > 0 and present[answers[k]].all()
+                present[own] = False
                 short = extra < SHORT
-                if shared < (extra if short else PARAPHRASE_SHARE * extra):
+                if shared < extra * (1.0 if short else PARAPHRASE_SHARE if answerable else LCS_SHARE):
                     continue
                 if short and not in_one_piece(item_words[k], there):
                     continue
-                length = lcs(item_words[k], there)
-                share = length / len(item_words[k])
-                answer = answers[k]
-                answered = bool(len(answer)) and lcs(answer, there) == len(answer)
+                length = lcs(item_places[k], own.tolist())
+                share = length / extra
+                answered = bool(answerable) and lcs(answer_places[k], own.tolist()) == len(answers[k])
                 if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and answered:
                     found = (length, cosine, len(item_words[k]), a, b, answered)
                     best[d, k] = max(best.get((d, k), found), found)

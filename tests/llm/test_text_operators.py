@@ -207,6 +207,10 @@ def test_decontamination_finds_copies_with_changed_rare_words(spark, docs):
     assert got == {61: 40, 62: 34}
 
 
+def common(item, other):
+    return decontaminate.lcs(decontaminate.word_places(item), other)
+
+
 def matching(text, item):
     """Brute force: the item against every passage and its surroundings."""
     there, wanted = decontaminate.text_words(text), decontaminate.text_words(item)
@@ -220,8 +224,8 @@ def matching(text, item):
         if 0 < n < decontaminate.SHORT:
             found = any(part[i : i + n] == wanted for i in range(len(part)))
         else:
-            share = decontaminate.lcs(ids(wanted), ids(part)) / n if n else 0
-            answered = len(last) > 1 and decontaminate.lcs(ids(last[-1]), ids(part)) == len(last[-1])
+            share = common(ids(wanted), ids(part)) / n if n else 0
+            answered = len(last) > 1 and common(ids(last[-1]), ids(part)) == len(last[-1])
             found = share >= decontaminate.LCS_SHARE or share >= decontaminate.PARAPHRASE_SHARE and answered
         if found:
             return True
@@ -263,7 +267,7 @@ def test_longest_common_subsequence():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 table[i + 1, j + 1] = table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
-        assert decontaminate.lcs(a, b) == table[-1, -1]
+        assert common(a, b) == table[-1, -1]
 
 
 # ---- HTML
