@@ -7,15 +7,15 @@ list items with markers and indents, preformatted text as it stands, table cells
 aligned columns. Every page is worked on in the task that reads it.
 
 Rows: a null page gives an empty text, as does a page without visible text. Unclosed elements
-and comments end with the page; an unfinished tag there is text. Depth is not limited: no step recurses
-but for tables in tables, which from TABLE_DEPTH on are laid out as plain blocks with all their
-text. Other columns pass through; an input column named like the output is replaced.
+and comments end with the page; an unfinished tag there is text. Depth is not limited: no step recurses,
+tables in tables included. Other columns pass through; an input column named like the output is replaced.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Generator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -23,8 +23,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TABLE_DEPTH = 8
-
 # Classes of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes".split())
@@ -247,8 +245,26 @@ class Writer:
         return self.lines
 
 
-def render(root: Node, depth: int = 0) -> list[str]:
-    """Lines of everything visible below ``root``."""
+Layout = Generator["Layout", list[str], list[str]]
+
+
+def render(root: Node) -> list[str]:
+    """Lines of everything visible below ``root``. A layout yields the layouts whose lines it needs;
+    those that wait are kept in a list."""
+    waiting, lines = [_flow(root)], None
+    while waiting:
+        try:
+            needed = waiting[-1].send(lines)
+        except StopIteration as done:
+            waiting.pop()
+            lines = done.value
+        else:
+            waiting.append(needed)
+            lines = None
+    return lines
+
+
+def _flow(root: Node) -> Layout:
     out = Writer()
     # (node, next child, what to undo) for every open element
     stack: list[list] = [[root, 0, None]]
@@ -274,9 +290,9 @@ def render(root: Node, depth: int = 0) -> list[str]:
         if name == "br":
             out.newline()
             continue
-        if name == "table" and depth < TABLE_DEPTH:
+        if name == "table":
             out.block(1)
-            for line in _table(child, depth):
+            for line in (yield _table(child)):
                 out.literal(line)
                 out.newline()
             out.block(1)
@@ -324,7 +340,7 @@ def render(root: Node, depth: int = 0) -> list[str]:
     return out.finish()
 
 
-def _table(table: Node, depth: int) -> list[str]:
+def _table(table: Node) -> Layout:
     """Caption, then misplaced content, then the rows in aligned columns."""
     caption, stray, rows = Node("div"), Node("div"), []
     queue: list[tuple[Node, Node | None]] = [(table, None)]
@@ -355,7 +371,7 @@ def _table(table: Node, depth: int) -> list[str]:
             while held.get((r, column)):
                 column += 1
             wide, high = (_span(cell, k) for k in ("colspan", "rowspan"))
-            cells[column] = (render(cell, depth + 1), wide)
+            cells[column] = ((yield _flow(cell)), wide)
             for below in range(1, min(high, len(rows) - r)):
                 held.update({(r + below, column + k): True for k in range(wide)})
             column += wide
@@ -365,7 +381,7 @@ def _table(table: Node, depth: int) -> list[str]:
         for column, (lines, wide) in cells.items():
             if wide == 1:
                 widths[column] = max([widths.get(column, 0), *map(len, lines)])
-    out = render(caption, depth + 1) + render(stray, depth + 1)
+    out = (yield _flow(caption)) + (yield _flow(stray))
     for cells in grid:
         for k in range(max([len(lines) for lines, _ in cells.values()], default=0)):
             parts, at = [], 0

@@ -346,6 +346,21 @@ def test_toxicity_counts_rows_that_the_curve_does_not_use(spark, docs, monkeypat
     assert counted[0] > 350
 
 
+def test_tables_in_tables_keep_their_columns_at_any_depth():
+    page = "x"
+    for _ in range(3000):
+        page = f"<table><tr><td>a<td>{page}</table>"
+    assert html_text.page_text(page) == "  ".join(["a"] * 3000 + ["x"])
+
+
+def test_html_repeated_pages_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "<p>a<p>b", "old")] * 3 + [(2, None, "old")], "page_id int, html string, text string")
+    got = html_text.extract(df)
+    assert got.columns == df.columns
+    assert sorted(r["text"] for r in got.collect()) == ["", "a\n\nb", "a\n\nb", "a\n\nb"]
+    assert html_text.extract(df.limit(0)).collect() == []
+
+
 # ---- secrets
 
 def base_spans(text):
