@@ -35,7 +35,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from gripelens.streaming.monitor import negative_share
 
 CHANGES = "platform string, day timestamp, n bigint, negative bigint, score bigint, alert boolean, started boolean"
-_DAY = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -77,46 +76,50 @@ class ChangeDetector:
         return (
             self.daily(reviews, lateness)
             .groupBy("platform")
-            .transformWithStateInPandas(_Detector(self), CHANGES, "append", "eventTime")
+            .transformWithStateInPandas(_detector(self.limit, self.bound, self.idle_days), CHANGES, "append", "eventTime")
         )
 
 
-class _Detector(StatefulProcessor):
-    """Keeps (last day, score, alert) of a platform."""
-
-    def __init__(self, rule: ChangeDetector):
-        self.rule = rule
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("sum", "day timestamp, score bigint, alert boolean")
-
-    def _timer(self, day: dt.datetime) -> int:
-        """Milliseconds at which a platform without later days counts as idle."""
-        due = day + (self.rule.idle_days + 1) * _DAY
-        return int(due.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        days = pd.concat(list(rows)).sort_values("day")
-        last, score, alert = self.state.get() if self.state.exists() else (None, 0, False)
-        if last is not None:
-            self.handle.deleteTimer(self._timer(last))
-        made = []
-        for r in days.itertuples(index=False):
-            day = r.day.to_pydatetime().replace(tzinfo=None)
-            if last is not None and (day - last) > self.rule.idle_days * _DAY:
-                score, alert = 0, False
-            score = max(0, score + 1000 * int(r.negative) - self.rule.limit * int(r.n))
-            above = score > self.rule.bound
-            made.append((key[0], r.day, int(r.n), int(r.negative), score, above, above and not alert))
-            last, alert = day, above
-        self.state.update((last, score, alert))
-        self.handle.registerTimer(self._timer(last))
-        yield pd.DataFrame(made, columns=["platform", "day", "n", "negative", "score", "alert", "started"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
+def _detector(limit: int, bound: int, idle_days: int) -> StatefulProcessor:
+    """Spark starts a Python worker of its own to set a processor up; the class is made in here so that
+    it travels whole and that worker need not find this package."""
+    one_day = dt.timedelta(days=1)
+
+    class Detector(StatefulProcessor):
+        """Keeps (last day, score, alert) of a platform."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.state = handle.getValueState("sum", "day timestamp, score bigint, alert boolean")
+
+        def _timer(self, day: dt.datetime) -> int:
+            """Milliseconds at which a platform without later days counts as idle."""
+            due = day + (idle_days + 1) * one_day
+            return int(due.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            days = pd.concat(list(rows)).sort_values("day")
+            last, score, alert = self.state.get() if self.state.exists() else (None, 0, False)
+            if last is not None:
+                self.handle.deleteTimer(self._timer(last))
+            made = []
+            for r in days.itertuples(index=False):
+                day = r.day.to_pydatetime().replace(tzinfo=None)
+                if last is not None and (day - last) > idle_days * one_day:
+                    score, alert = 0, False
+                score = max(0, score + 1000 * int(r.negative) - limit * int(r.n))
+                above = score > bound
+                made.append((key[0], r.day, int(r.n), int(r.negative), score, above, above and not alert))
+                last, alert = day, above
+            self.state.update((last, score, alert))
+            self.handle.registerTimer(self._timer(last))
+            yield pd.DataFrame(made, columns=["platform", "day", "n", "negative", "score", "alert", "started"])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            self.state.clear()
+            return iter([])
+
+        def close(self) -> None:
+            pass
+
+    return Detector()
