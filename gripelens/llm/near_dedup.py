@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from gripelens.llm.byte_bpe import slices
 from gripelens.llm.components import components
-from gripelens.llm.shingles import shingle_sets, signatures
+from gripelens.llm.shingles import shingle_sets, shingles, signatures
 from gripelens.runtime import lookup_join, materialise
 
 TREES, DEPTH = 6, 8
@@ -180,21 +180,20 @@ class NearDedup:
         )
 
     def shingle_levels(self, docs: DataFrame) -> np.ndarray:
-        """One byte per hash bucket, four times the binary logarithm of its count in an eighth
-        of the documents. It only orders the prefixes: the join is exact for any order."""
+        """One byte per hash bucket, four times the binary logarithm of its count over all
+        documents. It only orders the prefixes: the join is exact for any order."""
         width = self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(BUCKETS, np.int64)
             for batch in slices(batches, "text"):
-                flat, _ = shingle_sets([t or "" for t in batch.column("text").to_pylist()], width)
+                flat = shingles([t or "" for t in batch.column("text").to_pylist()], width)
                 counts += np.bincount((flat & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(counts[at])], ["b", "n"])
 
-        some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(8)) == 0).select("text")
         levels = np.zeros(BUCKETS, np.uint8)
-        counts = some.mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
+        counts = docs.select("text").mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
         for row in counts.collect():  # at most BUCKETS rows
             levels[row["b"]] = min(1 + 4 * np.log2(row["n"]), 127)
         return levels

@@ -81,6 +81,20 @@ def shingle_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else np.zeros(0, _U)), sizes
 
 
+def shingles(texts: list[str], width: int) -> np.ndarray:
+    """The hashes of ``width`` words in a row, of all texts, as often as they occur; as in
+    ``shingle_sets``, whose one shingle for shorter texts is left out."""
+    hashes, counts = word_hashes(texts)
+    rolled = np.zeros(max(len(hashes) - width + 1, 0), _U)
+    for k in range(width):
+        rolled = rolled * _U(0xA24BAED4963EE407) + hashes[k : k + len(rolled)]
+    inside = np.ones(len(rolled), bool)
+    ends = np.cumsum(counts)
+    for k in range(1, width):  # those that reach into the next text
+        inside[(at := ends - k)[(at >= 0) & (at < len(rolled))]] = False
+    return mix(rolled[inside] + _U(width))
+
+
 @lru_cache(maxsize=4)
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     seeds = mix(np.arange(1, 2 * count + 1, dtype=_U) * _U(_BASE))
