@@ -31,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 COEF_FEATURES = tx.TEXT_FEATURES
 SOURCES = tuple(f"src{i}" for i in range(20))
 STREAM_THRESHOLD = 0.5
+CSV_ROWS = 20_000  # a CSV file with texts over several lines is read by one task
 
 
 def query(arg):
@@ -153,11 +154,11 @@ def create_yelp(spark, sf):
 
 @query
 def create_steam(spark, sf):
-    """One CSV folder part per platform -> English by prediction -> whole files until the target."""
+    """CSV files, clusters by platform -> English by prediction -> whole clusters until the target."""
     path = fresh_path(spark, "steam-csv")
     docs = v.review_texts(spark, sf)
     rows = docs.select(F.col("text").alias("review"), "recommend", F.col("platform").alias("user"))
-    tables.write_csv(rows.repartition(8, "user"), path)
+    tables.write_csv(rows, path, rows_per_file=CSV_ROWS)
     counts = materialise(language.gram_counts(docs), "gram-counts")
     stored = fresh_path(spark, "language-model")
     language.LanguageModel.from_counts(counts).save(stored)

@@ -127,9 +127,10 @@ def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists"):
-    """CSV export that survives quotes and line breaks in texts; many part files."""
-    df.write.mode(mode).option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = 0):
+    """CSV export that survives quotes and line breaks in texts; many part files, of at most
+    ``rows_per_file`` rows if that is not 0."""
+    df.write.mode(mode).option("header", True).option("maxRecordsPerFile", rows_per_file).option("quoteAll", True).option("escape", '"').csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
