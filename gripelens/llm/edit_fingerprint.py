@@ -18,9 +18,11 @@ another bin in a fixed order. A text without code points has the empty fingerpri
 Likeness of two fingerprints is the share of equal digits, less what chance gives (1 of 16): an
 estimate of the share of the embedding that is equal. Equal texts have equal fingerprints.
 
-Search (``near_first``). Bands of sampled digits; of the documents that share a band with a document
-the one with the smallest id is its candidate, and candidates are verified on all digits. Copies
-are one class before. Bands of 8 digits, 16 of them, miss a pair of likeness 0.9 once in 5,000.
+Search (``near_first``), exact. Fingerprints of likeness 0.8 differ in 24 digits at most, so in one of 13
+bands they differ in at most one: classes of equal fingerprints meet on every band less one
+of its digits, and what meets is verified on all digits. Of those near a document the one with
+the smallest id is wanted, so a class first meets the first class of each key; only where that leaves
+a smaller one possible does it meet others. Copies are one class before.
 
 Rows: null texts count as empty. Very long texts are walked whole, segments side by side. Repeated
 rows give equal results; columns named like the output are replaced, others pass.
@@ -45,7 +47,7 @@ SEGMENT = 4096
 STEPS = 4 * SEGMENT  # a walk of 1.5 segments ends long before: one step in two moves on
 SAMPLES, WALKS = 128, 4
 BINS = SAMPLES // WALKS
-BANDS, BAND = 16, 8
+BLOCK = 512  # classes of a key that a task compares with the others
 CHUNK = 4_000_000  # code points that a task walks at a time
 _U = np.uint64
 _LAST = _U(0xFFFFFFFFFFFFFFFF)
@@ -275,27 +277,63 @@ def beside_next(docs: DataFrame) -> DataFrame:
     return inner.unionByName(edge.withColumn("edited_sha256", F.sha2("edited", 256)).select(*columns))
 
 
-def near_first(prints: DataFrame, at_least: float = 0.8, bands: int = BANDS, width: int = BAND) -> DataFrame:
+def _apart(at_least: float) -> int:
+    """Digits in which fingerprints of this likeness or more may differ."""
+    return int(np.floor(SAMPLES * 15 / 16 * (1 - at_least) + 1e-9))
+
+
+def _keys(apart: int) -> Column:
+    """For every digit a hash of its band without it, and of its place."""
+    edges = [round(k * SAMPLES / (apart // 2 + 1)) for k in range(apart // 2 + 2)]
+    keys = []
+    for a, b in zip(edges, edges[1:]):
+        for j in range(a, b):
+            rest = [F.substring("fingerprint", a + 1, j - a), F.substring("fingerprint", j + 2, b - j - 1)]
+            keys.append(F.xxhash64(F.lit(j), *rest))
+    return F.array(*keys)
+
+
+def near_first(prints: DataFrame, at_least: float = 0.8) -> DataFrame:
     """(fingerprint, doc_id, n_docs, near_id) for each different fingerprint of (doc_id, fingerprint).
 
     ``doc_id`` is the smallest of the ``n_docs`` documents with this fingerprint, ``near_id`` the
-    smallest of these and of those verified documents that come first (by doc_id) in one of its
-    bands. Most bands hold one class; the others are looked up without moving the rest.
+    smallest of these and of all documents whose fingerprints have the likeness ``at_least`` (above 0) to it.
+    Most keys hold one class; the others are looked up without moving the rest. Where the first
+    class of a key is not near, those after it that could still be the smallest are compared as well,
+    BLOCK of them in a task.
     """
     own = prints.where((F.col("fingerprint") != "") & F.col("doc_id").isNotNull())
     classes = materialise(own.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs")), "print-classes")
-    cut = [F.xxhash64(F.lit(b), F.substring("fingerprint", 1 + b * width, width)) for b in range(bands)]
-    shared = classes.select("doc_id", F.explode(F.array(*cut)).alias("band"))
-    groups = shared.groupBy("band").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("most"))
-    groups = materialise(groups.where("first < most").drop("most"), "print-bands")
-    met = lookup_join(shared, groups, "band", spread_by="doc_id").where("first < doc_id")
-    pairs = materialise(met.select("doc_id", "first").distinct(), "print-pairs")
-    theirs = classes.select(F.col("doc_id").alias("first"), F.col("fingerprint").alias("their_print"))
-    theirs = theirs.join(pairs.select("first").distinct(), "first", "left_semi")
-    own = classes.select("doc_id", "fingerprint").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    whole = lookup_join(lookup_join(pairs, own, "doc_id"), theirs, "first", spread_by="doc_id")
-    verified = whole.where(likeness("fingerprint", "their_print") >= at_least)
-    found = verified.groupBy("fingerprint").agg(F.min("first").alias("first"))
-    return classes.join(found, "fingerprint", "left").select(
-        "fingerprint", "doc_id", "n_docs", F.coalesce("first", "doc_id").alias("near_id")
+    named = classes.select(F.xxhash64("fingerprint").alias("fp"), "fingerprint", "doc_id")
+    shared = named.select("fp", "doc_id", F.explode(_keys(_apart(at_least))).alias("key"))
+    groups = shared.groupBy("key").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.count("*").alias("size")
     )
+    groups = materialise(groups.where("first < most").drop("most"), "print-groups")
+    met = materialise(lookup_join(shared, groups, "key", spread_by="fp"), "print-met")
+    early = _verified(met.where("first < doc_id").select("fp", F.col("first").alias("other")), named, at_least)
+    best = materialise(early, "print-early")
+    known = lookup_join(met, best, "fp", "left", spread_by="key")
+    upto = F.coalesce("near", "doc_id")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    unsure = materialise(known.where(F.col("first") < upto).select("key", "fp", "first", "size", upto.alias("upto")), "print-open")
+    asked = unsure.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    there = met.join(unsure.select("key").distinct(), "key", "left_semi").where("first < doc_id")
+    there = there.select("key", F.col("doc_id").alias("other"), F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"))
+    pairs = asked.join(there, ["key", "block"]).where("first < other AND other < upto").select("fp", "other")
+    late = materialise(_verified(pairs, named, at_least), "print-late")
+    found = best.unionByName(late).groupBy("fp").agg(F.min("near").alias("near"))
+    return classes.withColumn("fp", F.xxhash64("fingerprint")).join(found, "fp", "left").select(
+        "fingerprint", "doc_id", "n_docs", F.least("doc_id", F.coalesce("near", "doc_id")).alias("near_id")
+    )
+
+
+def _verified(pairs: DataFrame, named: DataFrame, at_least: float) -> DataFrame:
+    """(fp, near): the smallest ``other`` of the pairs (fp, other) whose fingerprints are alike."""
+    pairs = materialise(pairs.distinct(), "print-pairs")
+    mine = named.select("fp", "fingerprint").join(pairs.select("fp").distinct(), "fp", "left_semi")
+    theirs = named.select(F.col("doc_id").alias("other"), F.col("fingerprint").alias("their_print"))
+    theirs = theirs.join(pairs.select("other").distinct(), "other", "left_semi")
+    whole = lookup_join(lookup_join(pairs, mine, "fp", spread_by="other"), theirs, "other", spread_by="fp")
+    alike = whole.where(likeness("fingerprint", "their_print") >= at_least)
+    return alike.groupBy("fp").agg(F.min("other").alias("near"))
