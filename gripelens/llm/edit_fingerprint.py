@@ -31,7 +31,7 @@ rows give equal results; columns named like the output are replaced, others pass
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +41,13 @@ from pyspark.sql import types as T
 
 from gripelens.llm.byte_bpe import slices
 from gripelens.llm.shingles import mix
-from gripelens.runtime import lookup_join, materialise
+from gripelens.runtime import lookup_join, materialise, shuffles_freed
 
 SEGMENT = 4096
 STEPS = 4 * SEGMENT  # a walk of 1.5 segments ends long before: one step in two moves on
 SAMPLES, WALKS = 128, 4
 BINS = SAMPLES // WALKS
+ROUNDS = 4  # in which the keys of the search are dealt, so that a shuffle holds some of them only
 BLOCK = 512  # classes of a key that a task compares with the others
 CHUNK = 4_000_000  # code points that a task walks at a time
 _U = np.uint64
@@ -257,7 +258,8 @@ def beside_next(docs: DataFrame) -> DataFrame:
             yield batch_of("last", [(last[0], len(last[1]), last[1], None, last[2], None, None)])
 
     made = dealt.mapInArrow(run, _BESIDE).withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
-    made = materialise(made, "beside-next")
+    with shuffles_freed(made.sparkSession):
+        made = materialise(made, "beside-next")
     columns = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "next_fingerprint"]
     inner = made.where("kind = 'row'").select(*columns)
     firsts = made.where("kind = 'first'").select(
@@ -282,7 +284,7 @@ def _apart(at_least: float) -> int:
     return int(np.floor(SAMPLES * 15 / 16 * (1 - at_least) + 1e-9))
 
 
-def _keys(apart: int) -> Column:
+def _keys(apart: int) -> list[Column]:
     """For every digit a hash of its band without it, and of its place."""
     edges = [round(k * SAMPLES / (apart // 2 + 1)) for k in range(apart // 2 + 2)]
     keys = []
@@ -290,7 +292,19 @@ def _keys(apart: int) -> Column:
         for j in range(a, b):
             rest = [F.substring("fingerprint", a + 1, j - a), F.substring("fingerprint", j + 2, b - j - 1)]
             keys.append(F.xxhash64(F.lit(j), *rest))
-    return F.array(*keys)
+    return keys
+
+
+def _met(named: DataFrame, keys: list[Column]) -> DataFrame:
+    """(key, fp, doc_id, first, size): the classes (fp, doc_id) of every key that several share, the
+    first of them and their number."""
+    shared = named.select("fp", "doc_id", F.explode(F.array(*keys)).alias("key"))
+    groups = shared.groupBy("key").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.count("*").alias("size")
+    )
+    with shuffles_freed(named.sparkSession):
+        groups = materialise(groups.where("first < most").drop("most"), "print-groups")
+        return materialise(lookup_join(shared, groups, "key", spread_by="fp"), "print-met")
 
 
 def near_first(prints: DataFrame, at_least: float = 0.8) -> DataFrame:
@@ -298,19 +312,16 @@ def near_first(prints: DataFrame, at_least: float = 0.8) -> DataFrame:
 
     ``doc_id`` is the smallest of the ``n_docs`` documents with this fingerprint, ``near_id`` the
     smallest of these and of all documents whose fingerprints have the likeness ``at_least`` (above 0) to it.
-    Most keys hold one class; the others are looked up without moving the rest. Where the first
+    Most keys hold one class; the others are looked up without moving the rest. Keys are of their digit
+    alone, so they are dealt in ROUNDS, whose shuffles are gone before the next. Where the first
     class of a key is not near, those after it that could still be the smallest are compared as well,
     BLOCK of them in a task.
     """
     own = prints.where((F.col("fingerprint") != "") & F.col("doc_id").isNotNull())
     classes = materialise(own.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs")), "print-classes")
     named = classes.select(F.xxhash64("fingerprint").alias("fp"), "fingerprint", "doc_id")
-    shared = named.select("fp", "doc_id", F.explode(_keys(_apart(at_least))).alias("key"))
-    groups = shared.groupBy("key").agg(
-        F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.count("*").alias("size")
-    )
-    groups = materialise(groups.where("first < most").drop("most"), "print-groups")
-    met = materialise(lookup_join(shared, groups, "key", spread_by="fp"), "print-met")
+    keys = _keys(_apart(at_least))
+    met = reduce(DataFrame.unionByName, [_met(named, keys[k::ROUNDS]) for k in range(min(ROUNDS, len(keys)))])
     early = _verified(met.where("first < doc_id").select("fp", F.col("first").alias("other")), named, at_least)
     best = materialise(early, "print-early")
     known = lookup_join(met, best, "fp", "left", spread_by="key")
