@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding of whole texts.
 
 Texts of an Arrow batch are laid end to end; ``pretokens`` finds all slices at once, and
-each slice is looked up in a cache of merged pieces that a worker keeps between batches.
+each slice is looked up among the merged pieces that a worker keeps between batches: those of
+fewer than 8 bytes are numbers and looked up all together, the others one by one.
 Only a slice that is new to the worker is merged pair by pair. Nothing is shuffled: a
 text becomes ids in the task that reads it.
 
@@ -27,7 +28,8 @@ from pyspark.sql import types as T
 
 from gripelens.llm.pretokens import boundaries
 
-# Characters laid end to end at a time, and merged pieces a worker remembers.
+# Characters laid end to end at a time, and merged pieces a worker remembers; as many older ones
+# stay until they are asked for again.
 CHUNK_CHARS = 500_000
 CACHED_PIECES = 250_000
 _LONG_PIECE = 256
@@ -39,6 +41,58 @@ def read_ranks(path: str) -> bytes:
     return Path(path).read_bytes()
 
 
+class OpenTable:
+    """Numbers (0 or more) by 64-bit keys (0 or more), in arrays, a quarter full at most; a key stands
+    in its slot or after it, the first slot following the last."""
+
+    def __init__(self, most: int):
+        self.count, bits = 0, max(4 * most, 16).bit_length()
+        self.most, self.shift = (1 << bits) // 4, np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.full(1 << bits, -1, np.int64)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> self.shift).view(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds different keys that are not there yet."""
+        self.count += len(keys)
+        slot = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys.take(slot) == -1)
+            _, first = np.unique(slot[free], return_index=True)
+            put = free[first]
+            self.keys[slot[put]], self.values[slot[put]] = keys[put], values[put]
+            rest = np.ones(len(keys), bool)
+            rest[put] = False
+            keys, values, slot = keys[rest], values[rest], slot[rest] + 1 & len(self.keys) - 1
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 if it is not there."""
+        at = self._slots(keys)
+        there = self.keys.take(at)
+        found = np.where(there == keys, self.values.take(at), -1)
+        other = np.flatnonzero((there != keys) & (there != -1))
+        at = at[other]
+        while len(other):
+            at = at + 1 & len(self.keys) - 1
+            there = self.keys.take(at)
+            same = there == keys[other]
+            found[other[same]] = self.values[at[same]]
+            on = ~same & (there != -1)
+            other, at = other[on], at[on]
+        return found
+
+    def roomy(self, more: int) -> OpenTable:
+        """This table, or a larger one if so many more keys do not fit."""
+        if self.count + more <= self.most:
+            return self
+        out, held = OpenTable(2 * (self.count + more)), np.flatnonzero(self.keys != -1)
+        out.put(self.keys[held], self.values[held])
+        return out
+
+
 class Codec:
     """Ids of texts and bytes of ids, for one vocabulary."""
 
@@ -60,10 +114,11 @@ class Codec:
             if w[:i] in self.ranks and w[i:] in self.ranks
         }
         keys = np.array([*pairs, np.iinfo(np.int64).max], np.int64)
-        order = np.argsort(keys)
-        self.pair_keys = keys[order]
-        self.pair_ranks = np.array([*pairs.values(), _NEVER], np.int64)[order]
+        self.pairs = OpenTable(len(keys))
+        self.pairs.put(keys, np.array([*pairs.values(), _NEVER], np.int64))
+        self._forget_short()
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Packed ids of each piece: repeatedly join the adjacent pair of lowest rank, the
@@ -86,8 +141,8 @@ class Codec:
     def _cost(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the joined pair; _NEVER where the vocabulary lacks it."""
         keys = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.pair_keys, keys)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], _NEVER)
+        cost = self.pairs.get(keys)
+        return np.where(cost < 0, _NEVER, cost)
 
     def _merge_short(self, pieces: list[bytes]) -> list[bytes]:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -184,25 +239,67 @@ class Codec:
         offsets = np.zeros(len(points) + 1, np.int64)
         np.cumsum(sizes, out=offsets[1:])
         raw = laid.encode()
-        at = offsets[starts].tolist()
-        pieces = [raw[a:b] for a, b in zip(at, [*at[1:], len(raw)])]
+        at = offsets[starts]
+        separators = np.searchsorted(starts, ends[:-1])
+        sizes = np.diff(at, append=len(raw))
+        first, counts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        wanted = np.ones(len(at), bool)
+        wanted[separators] = False
+        short, long = np.flatnonzero(wanted & (sizes < 8)), np.flatnonzero(wanted & (sizes >= 8))
+        first[short], counts[short] = self._short(raw, at[short], sizes[short])
+        others = self._long([raw[a:b] for a, b in zip(at[long].tolist(), (at + sizes)[long].tolist())])
+        counts[long] = np.fromiter(map(len, others), np.int64, len(others)) // 4
+        first[long] = self.used + np.cumsum(counts[long]) - counts[long]
+        pool = np.concatenate([self.pool[: self.used], np.frombuffer(b"".join(others), np.int32)])
+        sums = np.zeros(len(at) + 1, np.int64)
+        np.cumsum(counts, out=sums[1:])
+        ids = pool.take(np.repeat(first - sums[:-1], counts) + np.arange(sums[-1]))
+        begin = np.concatenate([[0], separators + 1]).astype(np.int64)
+        end = np.concatenate([separators, [len(at)]]).astype(np.int64)
+        return ids, sums[end] - sums[begin]
+
+    def _long(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of pieces, from the cache where they are known."""
         if len(self.cache) > CACHED_PIECES:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
         found = list(map(self.cache.get, pieces))
         missing = [k for k, ids in enumerate(found) if ids is None]
         if missing:
-            new = list({pieces[k] for k in missing})
+            asked = {pieces[k] for k in missing}
+            known = asked & self.older.keys()
+            self.cache.update((piece, self.older[piece]) for piece in known)
+            new = list(asked - known)
             self.cache.update(zip(new, self.merge(new)))
             for k in missing:
                 found[k] = self.cache[pieces[k]]
-        separators = np.searchsorted(starts, ends[:-1])
-        for k in separators.tolist():
-            found[k] = b""
-        sums = np.zeros(len(found) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4, out=sums[1:])
-        first = np.concatenate([[0], separators + 1]).astype(np.int64)
-        last = np.concatenate([separators, [len(found)]]).astype(np.int64)
-        return np.frombuffer(b"".join(found), np.int32), sums[last] - sums[first]
+        return found
+
+    def _forget_short(self) -> None:
+        self.short = OpenTable(CACHED_PIECES)
+        self.pool, self.used = np.zeros(4096, np.int32), 0
+
+    def _short(self, raw: bytes, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the pool, number) of the ids of pieces of fewer than 8 bytes, whose key is
+        their bytes and size. The table is begun anew when it is full."""
+        padded = raw + bytes(8)
+        words = np.ndarray(len(raw) + 1, "<i8", padded, strides=(1,))
+        keys = words[at] & ((1 << 8 * sizes) - 1) | sizes << 56
+        if self.short.count > CACHED_PIECES:
+            self._forget_short()
+        found = self.short.get(keys)
+        new = np.unique(keys[found < 0])
+        if len(new):
+            made = self.merge([k[: k[7]] for k in map(bytes, new.astype("<i8").view(np.uint8).reshape(-1, 8))])
+            counts = np.fromiter(map(len, made), np.int64, len(made)) // 4
+            ids = np.frombuffer(b"".join(made), np.int32)
+            if self.used + len(ids) > len(self.pool):
+                self.pool = np.append(self.pool, np.zeros(len(self.pool) + len(ids), np.int32))
+            self.pool[self.used : self.used + len(ids)] = ids
+            self.short = self.short.roomy(len(new))
+            self.short.put(new, self.used + np.cumsum(counts) - counts << 3 | counts)
+            self.used += len(ids)
+            found = self.short.get(keys)
+        return found >> 3, found & 7
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all ids end to end, offset at which each id's bytes begin)."""
