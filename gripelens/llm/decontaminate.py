@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,7 @@ RANK, SPARE = 128, 16
 ITEMS = 512
 SHORT = 8
 STRETCH = 4_096
+AROUND_WORDS = 1_000_000  # words around candidates that a task counts at a time
 CHUNK_WORDS = 200_000  # words whose numbers a task turns into passages at a time
 # Words of more than one in COMMON passages do not tell passages apart and weigh nothing (in a
 # corpus of fewer than COMMON^2 passages: of more than the root of their number).
@@ -126,7 +128,7 @@ def numbered(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
             flat: list[int] = []
             ends = [0]
             for text in batch.column("text").to_pylist():
-                flat.extend([get(w, -1) for w in text_words(text)])
+                flat.extend(map(get, text_words(text), repeat(-1)))
                 ends.append(len(flat))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
@@ -146,17 +148,19 @@ class _Halves:
         self.per_doc = np.maximum(-(-self.sizes // HALF), 1)
         self.count = int(self.per_doc.sum())
         self.first = np.cumsum(self.per_doc) - self.per_doc  # first half-window of each document
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        place = np.arange(len(self.flat)) - self.starts[doc]
-        half = self.first[doc] + place // HALF
-        known = self.flat >= 0
-        if useful is not None:
-            known[known] = useful[self.flat[known]]
-        self.words, self.half = self.flat[known], half[known]
+        known = np.flatnonzero(self.flat >= 0)
+        doc = np.searchsorted(self.starts + self.sizes, known, side="right")
+        self.known = self.flat[known], self.first[doc] + (known - self.starts[doc]) // HALF
+        self.words, self.half = self.known if useful is None else self.some(useful)
         last = np.zeros(self.count, bool)
         last[self.first + self.per_doc - 1] = True
         self.last = last
 
+    def some(self, useful: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(words, half-windows) of the useful ones among the known words."""
+        keep = np.flatnonzero(useful.take(self.known[0]))
+        return self.known[0].take(keep), self.known[1].take(keep)
+
     def sums(self, rows: np.ndarray) -> np.ndarray:
         """Sum of ``rows[word]`` over each half-window."""
         out = np.zeros((self.count, rows.shape[1]), np.float32)
@@ -183,7 +187,7 @@ def _parts(ids: DataFrame, measure, size: int, useful: np.ndarray | None = None)
         total = None
         for batch in slices(batches, "ids", CHUNK_WORDS):
             found = measure(_Halves(batch.column("ids"), useful))
-            total = found if total is None else total + found
+            total = found if total is None else np.add(total, found, out=total)
         if total is not None:
             cut = [total[i : i + size].tobytes() for i in range(0, len(total), size)]
             yield pa.RecordBatch.from_arrays(
@@ -241,11 +245,12 @@ def latent_space(ids: DataFrame, weights: np.ndarray, own: np.ndarray, seed: int
     weighted = (test * weights[:, None]).astype(np.float32)
 
     def measure(h: _Halves) -> np.ndarray:
-        y = np.zeros((words, rank))
+        y = np.zeros((rank, words))
         if len(h.words):
             for k, column in enumerate(np.ascontiguousarray(h.sums(weighted).T)):
-                y[:, k] = np.bincount(h.words, weights=column.take(h.half), minlength=words)
-        return (y * weights[:, None]).ravel()
+                y[k] = np.bincount(h.words, weights=column.take(h.half), minlength=words)
+        y *= weights
+        return y.T.ravel()
 
     y = _total(_parts(ids, measure, 1 << 17, weights > 0))
     y = (y.reshape(words, rank) if len(y) else np.zeros((words, rank))) + own.T @ (own @ test)
@@ -270,6 +275,9 @@ class Bounds:
     def __init__(self, items: Items, seen: np.ndarray):
         self.items, words = len(items.ids), len(seen) - 1
         self.reach = np.array([-(-len(w) // HALF) for w in items.words])
+        # Items of equal reach stand side by side in the tables.
+        self.order = np.argsort(self.reach, kind="stable")
+        place = np.argsort(self.order).tolist()
         tables: list[list[tuple[int, int, int]]] = [[], [], []]
         self.least = np.ones((3, self.items), np.int32)
         for k, found in enumerate(items.words):
@@ -285,10 +293,10 @@ class Bounds:
                 least = m - (n - int(np.ceil(n * share - 1e-9)))
                 upto = int(np.argmin(np.where(least > 0, (chance + 1e-9) / np.maximum(least, 1), np.inf)))
                 self.least[table, k] = least[upto]
-                tables[table] += [(w, k, t) for w, t in zip(own[: upto + 1].tolist(), times.tolist())]
+                tables[table] += [(w, place[k], t) for w, t in zip(own[: upto + 1].tolist(), times.tolist())]
             answer = items.answers[k]
             if len(answer):
-                tables[2].append((int(answer[np.argmin(seen[answer])]), k, 1))
+                tables[2].append((int(answer[np.argmin(seen[answer])]), place[k], 1))
         self.used = np.zeros(words, bool)
         self.tables = []
         for table in tables:
@@ -297,11 +305,12 @@ class Bounds:
             starts = np.searchsorted(rows[:, 0], np.arange(words + 1))
             self.tables.append((starts[:-1], np.diff(starts), rows[:, 1], rows[:, 2]))
 
-    def held(self, lists: pa.Array) -> Iterator[np.ndarray]:
+    def held(self, lists: pa.Array | _Halves) -> Iterator[np.ndarray]:
         """(half-windows x items), STRETCH half-windows at a time: may the item match around the passage
         that begins there? Each stretch sees as many half-windows beyond its ends as items reach."""
-        h = _Halves(lists, self.used)
-        pairs = np.unique(h.half.astype(np.int64) * len(self.used) + h.words)
+        h = lists if isinstance(lists, _Halves) else _Halves(lists)
+        words, halves = h.some(self.used)
+        pairs = np.unique(halves.astype(np.int64) * len(self.used) + words)
         half, word = pairs // len(self.used), pairs % len(self.used)
         low = np.repeat(h.first, h.per_doc)
         high = np.repeat(h.first + h.per_doc, h.per_doc)
@@ -320,17 +329,67 @@ class Bounds:
             n = sizes[word]
             posting = np.repeat(starts[word] - np.cumsum(n) + n, n) + np.arange(n.sum())
             cell = np.repeat(half, n) * self.items + item[posting]
-            sums = np.bincount(cell, times[posting], count * self.items).astype(np.int32)
             total = np.zeros((count + 1, self.items), np.int32)
-            np.cumsum(sums.reshape(count, self.items), axis=0, out=total[1:])
+            np.add.at(total.ravel(), cell + self.items, times[posting].astype(np.int32))
+            np.cumsum(total, axis=0, out=total)
             ok = np.zeros((len(at), self.items), bool)
-            for reach in np.unique(self.reach).tolist():
-                mine = np.flatnonzero(self.reach == reach)
+            first = 0
+            for reach, several in zip(*[x.tolist() for x in np.unique(self.reach, return_counts=True)]):
+                mine = slice(first, first + several)
                 part = total[:, mine]
-                around = part[np.minimum(at + 2 + reach, high)] - part[np.maximum(at - reach, low)]
-                ok[:, mine] = around >= self.least[table, mine]
+                around = part.take(np.minimum(at + 2 + reach, high), axis=0)
+                around -= part.take(np.maximum(at - reach, low), axis=0)
+                np.greater_equal(around, self.least[table, self.order[mine]], out=ok[:, mine])
+                first += several
             enough.append(ok)
-        return enough[0] | enough[1] & enough[2]
+        held = np.empty_like(enough[0])
+        held[:, self.order] = enough[0] | enough[1] & enough[2]
+        return held
+
+
+class Around:
+    """Which candidates have enough of the item's words around them, many at a time: a common
+    subsequence is no longer than the words that item and surroundings share."""
+
+    def __init__(self, words: list[np.ndarray], answers: list[np.ndarray], vocabulary: int):
+        self.lengths = np.array([len(w) for w in words])
+        self.times = np.zeros((len(words), vocabulary), np.int32)
+        self.answer = np.zeros((len(words), vocabulary), bool)
+        for k, (found, answer) in enumerate(zip(words, answers)):
+            np.add.at(self.times[k], found, 1)
+            self.answer[k, answer] = True
+        self.in_answer = self.answer.sum(1)
+        # Words of each item, to leave out all others; the last place is for unknown words.
+        self.member = np.pad(self.times > 0, ((0, 0), (0, 1)))
+
+    def enough(self, h: _Halves, window: np.ndarray, item: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(candidate, document, first and last word around it, answer there?) of those with enough."""
+        doc = np.searchsorted(h.first, window, side="right") - 1
+        extra, begin = self.lengths[item], (window - h.first[doc]) * HALF
+        a, b = np.maximum(begin - extra, 0), np.minimum(begin + 2 * HALF + extra, h.sizes[doc])
+        ends, start = np.cumsum(b - a), 0
+        while start < len(window):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + AROUND_WORDS, side="right")))
+            part = slice(start, stop)
+            answered, keep = self._counted(h, item[part], (h.starts[doc] + a)[part], (b - a)[part])
+            at = np.flatnonzero(keep) + start
+            yield at, doc[at], a[at], b[at], answered[keep]
+            start = stop
+
+    def _counted(self, h: _Halves, item: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, words = len(item), self.times.shape[1]
+        of = np.repeat(np.arange(n), size)
+        word = h.flat.take(np.repeat(first - np.cumsum(size) + size, size) + np.arange(len(of)))
+        mine = np.flatnonzero(self.member.ravel().take(item[of] * (words + 1) + np.where(word < 0, words, word)))
+        of, word = of[mine], word[mine]
+        own = np.bincount(of, minlength=n)
+        of, word = np.divmod(np.unique(of * words + word), words)
+        shared = np.minimum(own, np.bincount(of, self.times[item[of], word], n))  # at least the common subsequence
+        there = np.bincount(of, self.answer[item[of], word], n)
+        answered = (self.in_answer[item] > 0) & (there == self.in_answer[item])
+        share = np.where(self.lengths[item] < SHORT, 1.0, np.where(answered, PARAPHRASE_SHARE, LCS_SHARE))
+        return answered, shared >= self.lengths[item] * share
 
 
 def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray, seen: np.ndarray) -> DataFrame:
@@ -343,53 +402,38 @@ def search(ids: DataFrame, items: Items, weights: np.ndarray, basis: np.ndarray,
     targets /= np.maximum(np.linalg.norm(targets, axis=1, keepdims=True), 1e-9)
     lengths = np.array([len(w) for w in items.words])
     least = (COSINE_SHARE * np.sqrt(np.minimum(lengths / (2 * HALF), 1.0))).astype(np.float32)
-    distinct, times = zip(*[np.unique(w, return_counts=True) for w in items.words])
     bounds = Bounds(items, seen)
     item_ids, item_words, answers = items.ids, items.words, items.answers
     item_places = [word_places(w.tolist()) for w in item_words]
     answer_places = [word_places(w.tolist()) for w in answers]
-    # Words of each item, to leave out all others; the last place is for unknown words.
-    member = np.zeros((len(item_words), len(weights) + 1), bool)
-    for k, words in enumerate(item_words):
-        member[k, words] = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        around = Around(item_words, answers, len(weights))
         for batch in slices(batches, "ids", CHUNK_WORDS):
             h = _Halves(batch.column("ids"), weights > 0)
             z = h.windows(h.sums(rows))
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
             hits = []
-            for part, held in enumerate(bounds.held(batch.column("ids"))):
+            for part, held in enumerate(bounds.held(h)):
                 cosine = z[part * STRETCH : part * STRETCH + len(held)] @ targets.T
                 window, item = np.nonzero((cosine >= least) | held)
                 hits.append((window + part * STRETCH, item, cosine[window, item]))
             window, item, near = map(np.concatenate, zip(*hits))
-            doc = np.searchsorted(h.first, window, side="right") - 1
             best: dict[tuple[int, int], tuple] = {}
-            present = np.zeros(len(weights) + 1, bool)
-            for w, k, d, cosine in zip(window.tolist(), item.tolist(), doc.tolist(), near.tolist()):
-                size = int(h.sizes[d])
-                begin = (w - int(h.first[d])) * HALF
-                extra = len(item_words[k])
-                a, b = max(begin - extra, 0), min(begin + 2 * HALF + extra, size)
-                base = int(h.starts[d])
-                there = h.flat[base + a : base + b]
-                own = there[member[k].take(there)]
-                present[own] = True
-                shared = min(len(own), times[k][present[distinct[k]]].sum())  # at least the common subsequence
-                answerable = len(answers[k]) > 0 and present[answers[k]].all()
-                present[own] = False
-                short = extra < SHORT
-                if shared < extra * (1.0 if short else PARAPHRASE_SHARE if answerable else LCS_SHARE):
-                    continue
-                if short and not in_one_piece(item_words[k], there):
-                    continue
-                length = lcs(item_places[k], own.tolist())
-                share = length / extra
-                answered = bool(answerable) and lcs(answer_places[k], own.tolist()) == len(answers[k])
-                if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and answered:
-                    found = (length, cosine, len(item_words[k]), a, b, answered)
-                    best[d, k] = max(best.get((d, k), found), found)
+            for at, *where in around.enough(h, window, item):
+                candidates = zip(item[at].tolist(), near[at].tolist(), *[x.tolist() for x in where])
+                for k, cosine, d, a, b, answerable in candidates:
+                    base, extra = int(h.starts[d]), len(item_words[k])
+                    there = h.flat[base + a : base + b]
+                    if extra < SHORT and not in_one_piece(item_words[k], there):
+                        continue
+                    own = there[around.member[k].take(there)].tolist()
+                    length = lcs(item_places[k], own)
+                    share = length / extra
+                    answered = answerable and lcs(answer_places[k], own) == len(answers[k])
+                    if share >= LCS_SHARE or share >= PARAPHRASE_SHARE and answered:
+                        found = (length, cosine, extra, a, b, answered)
+                        best[d, k] = max(best.get((d, k), found), found)
             names = batch.column("doc_id").to_pylist()
             out = [(names[d], item_ids[k], found[0], *found[2:]) for (d, k), found in sorted(best.items())]
             columns = list(zip(*out)) if out else [[] for _ in range(7)]
