@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,10 +65,10 @@ def word_counts(docs: DataFrame) -> Column:
     word = F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")
     counts = docs.select(word).groupBy(_bucket(F.xxhash64("w")).cast("int").alias("b")).agg(F.count("*").alias("n"))
     level = F.least(1 + 4 * F.log2("n"), F.lit(127.0)).cast("int")
-    table = bytearray(BUCKETS)
-    for row in counts.select("b", level.alias("level")).collect():  # at most BUCKETS rows
-        table[row["b"]] = row["level"]
-    return F.lit(table)
+    table = np.zeros(BUCKETS, np.uint8)
+    found = counts.select("b", level.alias("level")).toArrow()  # at most BUCKETS rows, as numbers
+    table[found["b"].to_numpy()] = found["level"].to_numpy()
+    return F.lit(bytearray(table.tobytes()))
 
 
 def _by_rarity(line: Column, counts: Column) -> Column:

@@ -194,8 +194,8 @@ class NearDedup:
 
         levels = np.zeros(BUCKETS, np.uint8)
         counts = docs.select("text").mapInArrow(run, "b int, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
-        for row in counts.collect():  # at most BUCKETS rows
-            levels[row["b"]] = min(1 + 4 * np.log2(row["n"]), 127)
+        found = counts.toArrow()  # at most BUCKETS rows, as numbers
+        levels[found["b"].to_numpy()] = np.minimum(1 + 4 * np.log2(found["n"].to_numpy()), 127)
         return levels
 
     def prefixes(self, docs: DataFrame) -> DataFrame:
