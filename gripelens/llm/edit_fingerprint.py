@@ -49,10 +49,12 @@ SAMPLES, WALKS = 128, 4
 BINS = SAMPLES // WALKS
 ROUNDS = 4  # in which the keys of the search are dealt, so that a shuffle holds some of them only
 BLOCK = 512  # classes of a key that a task compares with the others
+THIN = (256, 16, 1)  # one in so many of a key's classes is looked at first
 CHUNK = 4_000_000  # code points that a task walks at a time
 _U = np.uint64
 _LAST = _U(0xFFFFFFFFFFFFFFFF)
 _DIGITS = np.frombuffer(b"0123456789abcdef", np.uint8)
+_WORDS = [f"w{k}" for k in range(SAMPLES // 16)]
 
 
 @lru_cache(maxsize=1)
@@ -307,6 +309,24 @@ def _met(named: DataFrame, keys: list[Column]) -> DataFrame:
         return materialise(lookup_join(shared, groups, "key", spread_by="fp"), "print-met")
 
 
+def _words(fingerprint: str) -> list[Column]:
+    """The digits as numbers, sixteen in each."""
+    return [F.conv(F.substring(fingerprint, 16 * k + 1, 16), 16, -10).cast("bigint").alias(w) for k, w in enumerate(_WORDS)]
+
+
+def _alike(a: str, b: str, apart: int) -> Column:
+    """Whether the digits of two sides of a join differ in ``apart`` places at most; half of them are
+    compared first."""
+    counts = []
+    for w in _WORDS:
+        x = F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        counts.append(F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111))))
+    half = len(counts) // 2
+    return (reduce(Column.__add__, counts[:half]) <= apart) & (reduce(Column.__add__, counts) <= apart)
+
+
 def near_first(prints: DataFrame, at_least: float = 0.8) -> DataFrame:
     """(fingerprint, doc_id, n_docs, near_id) for each different fingerprint of (doc_id, fingerprint).
 
@@ -315,36 +335,53 @@ def near_first(prints: DataFrame, at_least: float = 0.8) -> DataFrame:
     Most keys hold one class; the others are looked up without moving the rest. Keys are of their digit
     alone, so they are dealt in ROUNDS, whose shuffles are gone before the next. Where the first
     class of a key is not near, those after it that could still be the smallest are compared as well,
-    BLOCK of them in a task.
+    BLOCK of them in a task: of large keys a share first (THIN), so that in a crowd of documents near one
+    another little is left below the smallest found. Digits are compared inside the join, which makes
+    rows of near classes only.
     """
     own = prints.where((F.col("fingerprint") != "") & F.col("doc_id").isNotNull())
     classes = materialise(own.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n_docs")), "print-classes")
     named = classes.select(F.xxhash64("fingerprint").alias("fp"), "fingerprint", "doc_id")
-    keys = _keys(_apart(at_least))
+    apart = _apart(at_least)
+    keys = _keys(apart)
     met = reduce(DataFrame.unionByName, [_met(named, keys[k::ROUNDS]) for k in range(min(ROUNDS, len(keys)))])
-    early = _verified(met.where("first < doc_id").select("fp", F.col("first").alias("other")), named, at_least)
+    early = _verified(met.where("first < doc_id").select("fp", F.col("first").alias("other")), named, apart)
     best = materialise(early, "print-early")
-    known = lookup_join(met, best, "fp", "left", spread_by="key")
-    upto = F.coalesce("near", "doc_id")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    unsure = materialise(known.where(F.col("first") < upto).select("key", "fp", "first", "size", upto.alias("upto")), "print-open")
-    asked = unsure.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    there = met.join(unsure.select("key").distinct(), "key", "left_semi").where("first < doc_id")
-    there = there.select("key", F.col("doc_id").alias("other"), F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"))
-    pairs = asked.join(there, ["key", "block"]).where("first < other AND other < upto").select("fp", "other")
-    late = materialise(_verified(pairs, named, at_least), "print-late")
-    found = best.unionByName(late).groupBy("fp").agg(F.min("near").alias("near"))
-    return classes.withColumn("fp", F.xxhash64("fingerprint")).join(found, "fp", "left").select(
+    digits = named.select("fp", *_words("fingerprint"))
+    known = met.join(best, "fp", "left").where(F.col("first") < F.coalesce("near", "doc_id"))
+    unsure = materialise(known.join(digits, "fp").drop("near"), "print-open")
+    there = met.join(unsure.select("key").distinct(), "key", "left_semi").where("first < doc_id").join(digits, "fp")
+    there = materialise(there.withColumn("lot", F.pmod(F.xxhash64("doc_id"), 1 << 30).cast("int")), "print-there")
+    for thin in THIN:
+        late = materialise(_later(unsure.where(F.col("size") >= thin), there, best, thin, apart), "print-late")
+        both = best.unionByName(late).groupBy("fp").agg(F.min("near").alias("near"))
+        best = materialise(both, "print-best")
+    return classes.withColumn("fp", F.xxhash64("fingerprint")).join(best, "fp", "left").select(
         "fingerprint", "doc_id", "n_docs", F.least("doc_id", F.coalesce("near", "doc_id")).alias("near_id")
     )
 
 
-def _verified(pairs: DataFrame, named: DataFrame, at_least: float) -> DataFrame:
+def _later(unsure: DataFrame, there: DataFrame, best: DataFrame, thin: int, apart: int) -> DataFrame:
+    """(fp, near): the smallest near class that the classes ``unsure`` meet among one in ``thin`` of the
+    classes ``there``, if it comes before the best one known."""
+    blocks = F.ceil(F.col("size") / (BLOCK * thin)).cast("int")
+    asked = unsure.join(best, "fp", "left").withColumn("upto", F.coalesce("near", "doc_id")).where("first < upto")
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    lot = F.col("lot")
+    met = there.where((lot % thin == 0) & (F.col("size") >= thin))
+    met = met.withColumn("block", F.floor(lot / thin) % blocks)
+    a, b = asked.alias("a"), met.alias("b")
+    earlier = (F.col("b.doc_id") < F.col("a.upto")) & _alike("a", "b", apart)
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.block") == F.col("b.block")) & earlier)
+    return pairs.groupBy(F.col("a.fp").alias("fp")).agg(F.min("b.doc_id").alias("near"))
+
+
+def _verified(pairs: DataFrame, named: DataFrame, apart: int) -> DataFrame:
     """(fp, near): the smallest ``other`` of the pairs (fp, other) whose fingerprints are alike."""
     pairs = materialise(pairs.distinct(), "print-pairs")
-    mine = named.select("fp", "fingerprint").join(pairs.select("fp").distinct(), "fp", "left_semi")
-    theirs = named.select(F.col("doc_id").alias("other"), F.col("fingerprint").alias("their_print"))
+    mine = named.select("fp", *_words("fingerprint")).join(pairs.select("fp").distinct(), "fp", "left_semi")
+    theirs = named.select(F.col("doc_id").alias("other"), *_words("fingerprint"))
     theirs = theirs.join(pairs.select("other").distinct(), "other", "left_semi")
-    whole = lookup_join(lookup_join(pairs, mine, "fp", spread_by="other"), theirs, "other", spread_by="fp")
-    alike = whole.where(likeness("fingerprint", "their_print") >= at_least)
-    return alike.groupBy("fp").agg(F.min("other").alias("near"))
+    whole = lookup_join(pairs, mine, "fp", spread_by="other").alias("a")
+    alike = whole.join(theirs.alias("b"), (F.col("a.other") == F.col("b.other")) & _alike("a", "b", apart))
+    return alike.groupBy("fp").agg(F.min("a.other").alias("near"))
