@@ -1,0 +1,24 @@
+"""Words of lines as numbers: hashes, and the work of a task over whole pieces of text."""
+
+import random
+
+import pyarrow as pa
+
+from gripelens.llm import line_dedup
+
+
+def test_hashes_are_those_of_spark(spark):
+    rnd = random.Random(2)
+    words = ["", "a", "é漢😀", *["".join(rnd.choices("abcé漢", k=n)) for n in range(140)]]
+    df = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) AS h")
+    want = {r["w"]: r["h"] for r in df.collect()}
+    got = line_dedup.word_hashes(pa.array(["left out", *words]).slice(1))
+    assert dict(zip(words, got.view("int64").tolist())) == want
+
+
+def test_lines_are_cut_without_a_function_for_each_word(spark, docs):
+    table = line_dedup.LineDedup(percent=90).lines(docs([" b  A b\n\n \tc\n" + " ".join(map(str, range(12))), None, ""]))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan.lower() and "MapInArrow" in plan
+    got = {(r["doc_id"], r["line"]): (r["n"], len(r["prefix"])) for r in table.collect()}
+    assert got == {(1, 0): (2, 0), (1, 2): (1, 0), (1, 3): (12, 2)}
