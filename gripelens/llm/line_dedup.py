@@ -2,8 +2,8 @@
 
 A line is the set of its lower-case words. A line goes if an earlier line, in the order of
 (doc_id, line number), has a Jaccard similarity of at least ``percent`` / 100; whether that
-earlier line stays itself does not matter. Lines without words always stay. Texts are cut into
-words on Arrow arrays inside tasks, pieces of text at a time; all else is column functions.
+earlier line stays itself does not matter. Lines without words always stay. Everything is
+column functions.
 
 1. Lines with the same set form a class; one narrow row per line says so. The words of a
    set are ordered by rarity: one byte per hash bucket (BUCKETS of them, a fixed size) holds
@@ -27,33 +27,16 @@ through; input columns named like an output are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gripelens.llm.byte_bpe import slices
-from gripelens.llm.shingles import mix
 from gripelens.runtime import lookup_join, made_paths, materialise, release
 
 BUCKETS = 1 << 18
 CROWD = 128
-CHUNK = 4_000_000  # bytes of text that a task cuts at a time
-_SETS = [
-    *(T.StructField(name, T.IntegerType()) for name in ("line", "n")),
-    *(T.StructField(name, T.LongType()) for name in ("c1", "c2")),
-    T.StructField("prefix", T.ArrayType(T.LongType())),
-    T.StructField("bits", T.LongType()),
-]
-_U = np.uint64
-_P1, _P2, _P3, _P4, _P5 = map(
-    _U, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
-)
 # Blanks inside a line besides the space.
 BLANKS = "\t\r\f\v"
 _CLASS = ["c1", "c2"]
@@ -77,120 +60,26 @@ def _bucket(hashed: Column) -> Column:
     return hashed.bitwiseAND(F.lit(BUCKETS - 1))
 
 
-def _turned(x: np.ndarray, n: int) -> np.ndarray:
-    return (x << _U(n)) | (x >> _U(64 - n))
-
-
-def word_hashes(words: pa.Array) -> np.ndarray:
-    """``xxhash64`` of texts, as the function of that name gives it."""
-    words = words.cast(pa.large_binary())
-    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)
-    raw = np.concatenate([raw, np.zeros(8, np.uint8)])
-    at, left = ends[:-1].copy(), np.diff(ends)
-    wide = np.lib.stride_tricks.sliding_window_view(raw, 8)
-
-    def number(places: np.ndarray, size: int = 8) -> np.ndarray:
-        return np.ascontiguousarray(wide[places]).view(_U).ravel() & _U((1 << 8 * size) - 1)
-
-    def mixed(x: np.ndarray) -> np.ndarray:
-        return _turned(x * _P2, 31) * _P1
-
-    h = np.full(len(at), _U(42) + _P5)
-    long = np.flatnonzero(left >= 32)
-    if len(long):
-        with np.errstate(over="ignore"):
-            lanes = [np.full(len(long), v) for v in (_U(42) + _P1 + _P2, _U(42) + _P2, _U(42), _U(42) - _P1)]
-        rest = np.arange(len(long))
-        while len(rest):
-            now = long[rest]
-            for k, lane in enumerate(lanes):
-                lane[rest] = _turned(lane[rest] + number(at[now] + 8 * k) * _P2, 31) * _P1
-            at[now] += 32
-            left[now] -= 32
-            rest = rest[left[now] >= 32]
-        x = sum((_turned(lane, n) for lane, n in zip(lanes, (1, 7, 12, 18))), np.zeros(len(long), _U))
-        for lane in lanes:
-            x = (x ^ mixed(lane)) * _P1 + _P4
-        h[long] = x
-    h += np.diff(ends).astype(_U)
-    steps = ((8, lambda x, k: _turned(x ^ mixed(k), 27) * _P1 + _P4),
-             (4, lambda x, k: _turned(x ^ (k * _P1), 23) * _P2 + _P3),
-             (1, lambda x, k: _turned(x ^ (k * _P5), 11) * _P1))
-    for size, step in steps:
-        now = np.flatnonzero(left >= size)
-        while len(now):
-            h[now] = step(h[now], number(at[now], size))
-            at[now] += size
-            left[now] -= size
-            now = now[left[now] >= size]
-    h = (h ^ (h >> _U(33))) * _P2
-    h = (h ^ (h >> _U(29))) * _P3
-    return h ^ (h >> _U(32))
-
-
-def _words_of(texts: pa.Array, at: str) -> tuple[pa.Array, np.ndarray]:
-    """(pieces of all texts in order, the text that each comes from)."""
-    parts = pc.split_pattern(texts, at)
-    return parts.flatten(), pc.list_parent_indices(parts).to_numpy(zero_copy_only=False)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", CHUNK):
-        words, _ = _words_of(batch.column(0), " ")
-        found = words.value_counts()
-        yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["w", "n"])
-
-
-def word_levels(docs: DataFrame) -> bytes:
-    """One byte per hash bucket, four times the binary logarithm of its count. Tasks count the
-    different words of a piece of the texts; these meet by bucket."""
-    plain = F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")).alias("text")
-    words = docs.where(F.col("text").isNotNull()).select(plain).mapInArrow(_counted, "w string, n bigint")
-    counts = words.groupBy(_bucket(F.xxhash64("w")).cast("int").alias("b")).agg(F.sum("n").alias("n"))
+def word_counts(docs: DataFrame) -> Column:
+    """A constant: one byte per hash bucket, four times the binary logarithm of its count."""
+    word = F.explode(F.split(F.replace(_plain(F.col("text")), F.lit("\n"), F.lit(" ")), " ")).alias("w")
+    counts = docs.select(word).groupBy(_bucket(F.xxhash64("w")).cast("int").alias("b")).agg(F.count("*").alias("n"))
     level = F.least(1 + 4 * F.log2("n"), F.lit(127.0)).cast("int")
     table = np.zeros(BUCKETS, np.uint8)
     found = counts.select("b", level.alias("level")).toArrow()  # at most BUCKETS rows, as numbers
     table[found["b"].to_numpy()] = found["level"].to_numpy()
-    return table.tobytes()
+    return F.lit(bytearray(table.tobytes()))
 
 
-def word_counts(docs: DataFrame) -> Column:
-    """The levels of ``word_levels`` as a constant."""
-    return F.lit(bytearray(word_levels(docs)))
-
-
-def _sets(batch: pa.RecordBatch, table: np.ndarray, percent: int, smallest: int) -> pa.RecordBatch:
-    """(doc_id, line, n, c1, c2, prefix, bits) of the lines of some texts that have words. The distinct
-    words of a line are numbers, rarest first: the count's byte, then 56 bits of the hash."""
-    lines, text = _words_of(batch.column("text"), "\n")
-    words, line = _words_of(lines, " ")
-    coded = words.dictionary_encode()
-    hashes = word_hashes(coded.dictionary)
-    keys, rank = np.unique(table[hashes & _U(BUCKETS - 1)] | (hashes >> _U(8)), return_inverse=True)
-    blank = pc.equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
-    code = coded.indices.to_numpy()
-    some = ~blank[code]
-    both = np.sort((line[some].astype(np.int64) << 32) | rank[code[some]])
-    both = both[np.concatenate([[True], both[1:] != both[:-1]])] if len(both) else both
-    line, key = both >> 32, keys[both & 0xFFFFFFFF]
-    first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(both) else np.zeros(0, np.int64)
-    n, line = np.diff(np.append(first, len(both))), line[first]
-    wide = np.where(n >= smallest, n - (n * percent + 99) // 100 + 1, 0)
-    offsets = np.concatenate([[0], np.cumsum(wide)])
-    taken = np.repeat(first - offsets[:-1], wide) + np.arange(offsets[-1])
-
-    def each(values: np.ndarray, how: np.ufunc) -> np.ndarray:
-        return how.reduceat(values, first) if len(first) else np.zeros(0, _U)
-
-    bits = np.where(wide > 0, each(_U(1) << (key & _U(63)), np.bitwise_xor), _U(0))
-    c1, c2 = (mix(each(mix(key ^ _U(salt)), np.add) + n.astype(_U)) for salt in (0x5BD1E995, 0x9747B28C << 20))
-    place = line - np.searchsorted(text, text)[line] if len(line) else line
-    prefix = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[taken].view(np.int64)))
-    made = [place.astype(np.int32), n.astype(np.int32), c1.view(np.int64), c2.view(np.int64)]
-    owner = batch.column("doc_id").take(pa.array(text[line]))
-    names = ["doc_id", "line", "n", "c1", "c2", "prefix", "bits"]
-    return pa.RecordBatch.from_arrays([owner, *map(pa.array, made), prefix, pa.array(bits.view(np.int64))], names)
+def _by_rarity(line: Column, counts: Column) -> Column:
+    """The distinct words as numbers, rarest first: the count's byte, then 56 bits of the hash."""
+    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
+
+    def key(h: Column) -> Column:
+        byte = F.ascii(F.substring(counts, (_bucket(h) + 1).cast("int"), F.lit(1)).cast("string"))
+        return F.shiftleft(byte.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+
+    return F.sort_array(F.transform(F.array_remove(hashes, F.xxhash64(F.lit(""))), key))
 
 
 def _ceil_share(n: Column, percent: int, of: int = 100) -> Column:
@@ -207,17 +96,38 @@ class LineDedup:
 
     def lines(self, docs: DataFrame) -> DataFrame:
         """(doc_id, line, n, c1, c2, prefix, bits) of every line that has words."""
-        levels, percent, smallest = word_levels(docs), self.percent, self._smallest()
-        key = docs.schema["doc_id"]
-        kinds = T.StructType([key, *_SETS])
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = np.frombuffer(levels, np.uint8).astype(_U) << _U(56)
-            for batch in slices(batches, "text", CHUNK):
-                yield _sets(batch, table, percent, smallest)
-
-        texts = docs.where(F.col("text").isNotNull()).select("doc_id", _plain(F.col("text")).alias("text"))
-        return texts.mapInArrow(run, kinds)
+        counts = word_counts(docs)
+        n = F.col("n")
+        parity = F.aggregate(
+            "keys",
+            F.lit(0).cast("bigint"),
+            lambda s, k: s.bitwiseXOR(
+                F.call_function("shiftleft", F.lit(1).cast("bigint"), k.bitwiseAND(F.lit(63)).cast("int"))
+            ),
+        )
+        wide = F.when(n >= self._smallest(), n - _ceil_share(n, self.percent) + 1).otherwise(0)
+        return (
+            docs.select("doc_id", F.posexplode(F.split(_plain(F.col("text")), "\n")).alias("line", "value"))
+            .where(F.ltrim("value") != "")
+            .select("doc_id", "line", _by_rarity(F.col("value"), counts).alias("keys"))
+            .select(
+                "doc_id",
+                "line",
+                F.size("keys").alias("n"),
+                F.xxhash64("keys").alias("c1"),
+                F.xxhash64(F.lit(17), "keys").alias("c2"),
+                "keys",
+            )
+            .select(
+                "doc_id",
+                "line",
+                "n",
+                "c1",
+                "c2",
+                F.slice("keys", F.lit(1), wide).alias("prefix"),
+                F.when(wide > 0, parity).otherwise(F.lit(0)).alias("bits"),
+            )
+        )
 
     def _prefixes(self, classes: DataFrame, *more: str) -> DataFrame:
         """One row per class and prefix word; ``place`` holds size and position in one number."""
